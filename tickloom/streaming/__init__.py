@@ -1,0 +1 @@
+"""Kept empty on purpose: no analysis here reads a stream."""
