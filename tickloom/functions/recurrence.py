@@ -1,25 +1,30 @@
-"""Exponential averages y = (1 - a)·y₋₁ + a·x as window expressions.
+"""Exponential averages y = (1 - a)·y₋₁ + a·x as window sums, linear in the number of rows.
 
-Each row is an affine step y → A·y + B. Steps compose, so the composition of the last r³ rows
-is built in three window passes of r lags each (1, r and r² rows apart). With r³ chosen so that
-(1 - a)^(r³) < 1e-17, older rows cannot change a double: a recurrence becomes a finite window,
-needs no Python, and runs inside the same exchange and sort as every other indicator.
+Each row is an affine step y → A·y + B. With P the running product of A, the steps of a block
+of rows add up to y = P·(y before the block) + P·sum(B / P): two running aggregates that restart
+in every block, where P stays far from underflow. The value entering a block is folded from the
+(P, y) pairs at the ends of the blocks before it, a handful per window group.
 
 Missing values follow the pandas rule (``adjust=False``): a NULL keeps the last average, and the
 next value is weighted by a against (1 - a)^(rows since the last value), renormalised.
+
+Long series are cut in chunks, each preceded by enough rows that what lies before them weighs
+less than 1e-17 under any pattern of missing values.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.window import Source, derived, so_far, source
 from tickloom.plans import Feature
 
-NEGLIGIBLE = 1e-17
+NEGLIGIBLE = -math.log(1e-17)
+# Largest fall of P within a block, as a power of e, and the most rows in one.
+UNDERFLOW, BLOCK_ROWS = 550.0, 2560
 
 
 def ema(x: Source, span: int, min_periods: int = 0) -> Feature:
@@ -40,9 +45,19 @@ def wilder(x: Source, n: int, seeded: bool = False) -> Feature:
     )
 
 
+def memory(a: float) -> int:
+    """Rows after which the past is negligible, for the slowest-decaying pattern of gaps."""
+    keep = 1.0 - a
+    if keep <= 0:
+        return 1
+    most = math.ceil(4 / a)
+    decay = min(math.log1p(a / keep**k) / k for k in range(1, most + 1))
+    return math.ceil(NEGLIGIBLE / decay)
+
+
 def _average(label: str, x: Source, a: float, min_periods: int, seed_rows: int) -> Feature:
     c, needs = source(x)
-    keep = 1.0 - a
+    keep = max(1.0 - a, 1e-12)
     row = Feature("_row", lambda w: F.row_number().over(w))
     seen = Feature(f"_seen_{c}", lambda w: F.count(c).over(so_far(w)), needs)
     last = Feature(
@@ -54,54 +69,46 @@ def _average(label: str, x: Source, a: float, min_periods: int, seed_rows: int)
     )
     start = Feature(f"_start_{c}", lambda w: F.avg(c).over(so_far(w)), needs)
 
-    aged = F.pow(F.lit(keep), F.col("_row") - F.col(last.name))
-    weight = aged / (aged + a)
     known, count = F.col(c).isNotNull(), F.col(seen.name)
+    aged = F.when(
+        F.col("_row") == F.col(last.name) + 1, F.lit(keep)
+    ).otherwise(F.pow(F.lit(keep), F.col("_row") - F.col(last.name)))
+    weight = aged / (aged + a)
+    # Nothing precedes the seed row, so its own A never matters.
     step_a = derived(
-        f"_a0_{label}",
-        F.when(~known, 1.0).when(count <= seed_rows, 0.0).otherwise(weight),
-        seen, last,
+        f"_a_{label}", F.when(~known | (count <= seed_rows), 1.0).otherwise(weight), seen, last
     )
     step_b = derived(
-        f"_b0_{label}",
+        f"_b_{label}",
         F.when(~known | (count < seed_rows), 0.0)
         .when(count == seed_rows, F.col(start.name) if seed_rows > 1 else F.col(c))
         .otherwise((1.0 - weight) * F.col(c)),
-        seen, last, start, *needs,
+        seen, last, *needs, *((start,) if seed_rows > 1 else ()),
     )
-    reach = max(1, math.ceil(math.log(NEGLIGIBLE) / math.log(keep))) if keep > 0 else 1
-    r = math.ceil(round(reach ** (1 / 3), 9))
-    for level, stride in enumerate((1, r, r * r), start=1):
-        step_a, step_b = _compose(label, level, stride, r, step_a, step_b)
-    return derived(
-        label, F.when(F.col(seen.name) >= max(min_periods, seed_rows, 1), F.col(step_b.name)),
-        step_b, seen,
+    size = max(1, min(BLOCK_ROWS, math.floor(UNDERFLOW / -math.log(keep))))
+    fall = Feature(
+        f"_p_{label}", lambda w: F.product(step_a.name).over(so_far(w)), (step_a,),
+        block=size, restarts=True,
     )
-
-
-def _compose(
-    label: str, level: int, stride: int, r: int, step_a: Feature, step_b: Feature
-) -> tuple[Feature, Feature]:
-    """Compose r steps lying ``stride`` rows apart into one."""
-
-    def back(f: Feature, i: int, w: WindowSpec) -> Column:
-        return F.col(f.name) if i == 0 else F.lag(f.name, i * stride, 0.0).over(w)
-
-    def slope(w: WindowSpec) -> Column:
-        out = back(step_a, 0, w)
-        for i in range(1, r):
-            out = out * back(step_a, i, w)
-        return out
-
-    def offset(w: WindowSpec) -> Column:
-        out = back(step_b, r - 1, w)
-        for i in range(r - 2, -1, -1):
-            out = back(step_b, i, w) + back(step_a, i, w) * out
-        return out
-
-    reach = (r - 1) * stride
-    both = (step_a, step_b)
-    return (
-        Feature(f"_a{level}_{label}", slope, (step_a,), back=reach),
-        Feature(f"_b{level}_{label}", offset, both, back=reach),
+    grown = Feature(
+        f"_s_{label}",
+        lambda w: F.sum(F.col(step_b.name) / F.col(fall.name)).over(so_far(w)),
+        (step_b, fall), block=size, restarts=True,
+    )
+    here = derived(f"_y_{label}", F.col(grown.name) * F.col(fall.name), grown, fall)
+    edge = Feature("_edge", lambda w: F.lead("_block").over(w) != F.col("_block"), block=size)
+    ends = Feature(
+        f"_ends_{label}",
+        lambda w: F.collect_list(
+            F.when(F.col("_edge"), F.struct(F.col(fall.name).alias("p"), F.col(here.name).alias("y")))
+        ).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        (edge, fall, here),
+    )
+    entering = F.aggregate(ends.name, F.lit(0.0), lambda y, e: e["y"] + e["p"] * y)
+    ready = F.col(seen.name) >= max(min_periods, seed_rows, 1)
+    return Feature(
+        label,
+        lambda w: F.when(ready, F.col(here.name) + F.col(fall.name) * entering),
+        (here, fall, ends, seen),
+        back=memory(a),
     )

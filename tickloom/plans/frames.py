@@ -2,7 +2,7 @@
 
 A ``Feature`` is a named column expression over the series window together with the features
 it reads and the number of neighbouring rows it reaches. ``with_features`` adds any number of
-them: all share one window specification, so Spark exchanges and sorts once.
+them: all share one window order, so Spark exchanges and sorts once.
 
 Long series are cut in chunks of numbered rows. Rows near a chunk's edge are copied into the
 neighbour that reads them, evaluated there as context and dropped afterwards, so every kept
@@ -13,19 +13,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.plans.running import Running, position, with_running
 from tickloom.plans.series import DAILY, Series
 
+BLOCK = "_block"
+
 
 @dataclass(frozen=True, eq=False)
 class Feature:
     """A named column over a series window.
 
     ``back`` / ``ahead``: rows its own expression reads before / after the current one.
+    ``block``: the feature needs the series divided in blocks of at most that many rows (column
+    ``_block``); ``restarts`` makes its window start anew in each block.
     Equal names mean equal definitions, so shared inputs are computed once.
     """
 
@@ -34,23 +40,25 @@ class Feature:
     needs: tuple[Feature | Running, ...] = ()
     back: int = 0
     ahead: int = 0
+    block: int | None = None
+    restarts: bool = False
 
     def named(self, name: str) -> Feature:
-        return Feature(name, lambda w: F.col(self.name), (self,))
+        return self if name == self.name else Feature(name, lambda w: F.col(self.name), (self,))
 
     @property
     def inputs(self) -> list[Feature]:
         return [n for n in self.needs if isinstance(n, Feature)]
 
-    @property
+    @cached_property
     def reach_back(self) -> int:
         return self.back + max((n.reach_back for n in self.inputs), default=0)
 
-    @property
+    @cached_property
     def reach_ahead(self) -> int:
         return self.ahead + max((n.reach_ahead for n in self.inputs), default=0)
 
-    @property
+    @cached_property
     def depth(self) -> int:
         return 1 + max((n.depth for n in self.inputs), default=-1)
 
@@ -61,9 +69,19 @@ def with_features(df: DataFrame, *features: Feature, series: Series = DAILY) ->
     running = {n.name: n for f in needed for n in f.needs if isinstance(n, Running)}
     back = max((f.reach_back for f in features), default=0)
     ahead = max((f.reach_ahead for f in features), default=0)
-    out, window, home = neighbourhood(df, list(running.values()), back, ahead, series)
+    out, keys, order, home = neighbourhood(df, list(running.values()), back, ahead, series)
+    window = restarted = Window.partitionBy(*keys).orderBy(order)
+    blocks = [f.block for f in needed if f.block]
+    if blocks:
+        # Ordered by (block, order) both windows need the same sort: keys, block, order.
+        out = out.withColumn(BLOCK, _block_number(out, order, window, min(blocks)))
+        window = Window.partitionBy(*keys).orderBy(BLOCK, order)
+        restarted = Window.partitionBy(*keys, BLOCK).orderBy(order)
     for depth in range(max((f.depth for f in needed), default=-1) + 1):
-        out = out.withColumns({f.name: f.expr(window) for f in needed if f.depth == depth})
+        out = out.withColumns({
+            f.name: f.expr(restarted if f.restarts else window)
+            for f in needed if f.depth == depth
+        })
     if home is not None:
         out = out.filter(home)
     names = [f.name for f in features]
@@ -72,20 +90,30 @@ def with_features(df: DataFrame, *features: Feature, series: Series = DAILY) ->
 
 def neighbourhood(
     df: DataFrame, running: list[Running], back: int, ahead: int, series: Series
-) -> tuple[DataFrame, WindowSpec, Column | None]:
-    """Rows laid out so that ``back``/``ahead`` neighbours sit in the same window group.
+) -> tuple[DataFrame, list[str], str, Column | None]:
+    """Rows laid out so that ``back``/``ahead`` neighbours share a window group.
 
-    Returns the rows, the window, and the predicate that keeps each row once (None: all).
+    Returns the rows, the columns naming a group, the order column, and the predicate that
+    keeps each row once (None: all).
     """
     chunk = series.cut_rows(df)
     if chunk is None:
-        return with_running(df, running, series), series.window(), None
+        return with_running(df, running, series), series.keys, series.order, None
     rows = with_running(df, [*running, position()], series)
     first = F.greatest(F.lit(0), F.floor((F.col("_pos") - 1 - ahead) / chunk))
     last = F.floor((F.col("_pos") - 1 + back) / chunk)
     spread = rows.withColumn("_chunk", F.explode(F.sequence(first, last)))
-    window = Window.partitionBy(*series.keys, "_chunk").orderBy("_pos")
-    return spread, window, F.col("_chunk") == F.floor((F.col("_pos") - 1) / chunk)
+    home = F.col("_chunk") == F.floor((F.col("_pos") - 1) / chunk)
+    return spread, [*series.keys, "_chunk"], "_pos", home
+
+
+def _block_number(df: DataFrame, order: str, window: WindowSpec, size: int) -> Column:
+    """Blocks of at most ``size`` rows: of positions or days, else of counted rows."""
+    if order == "_pos":
+        return F.floor(F.col("_pos") / size)
+    if isinstance(df.schema[order].dataType, T.DateType):
+        return F.floor(F.unix_date(order) / size)
+    return F.floor(F.row_number().over(window) / size)
 
 
 def _closure(features: Iterable[Feature]) -> list[Feature]:

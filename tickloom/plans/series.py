@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_ROWS = 16_384
+CHUNK_ROWS = 65_536
 HOUR_MICROS = 3_600_000_000
 
 
@@ -52,7 +52,10 @@ class Series:
         elif isinstance(kind, T.TimestampType):
             ticks, width = F.unix_micros(self.order), HOUR_MICROS
         elif isinstance(kind, T.TimestampNTZType):
-            ticks, width = F.unix_micros(F.col(self.order).cast("timestamp")), HOUR_MICROS
+            # Whole seconds from the calendar parts: no session time zone is involved.
+            ts = F.col(self.order)
+            days, clock = F.unix_date(ts.cast("date")).cast("bigint"), F.hour(ts) * 3600 + F.minute(ts) * 60
+            ticks, width = (days * F.lit(86_400) + clock + F.second(ts)) * 1_000_000, HOUR_MICROS
         else:
             ticks, width = F.col(self.order), self.cut_rows(df)
         return F.floor(ticks / F.lit(self.bucket or width)).cast("bigint")
