@@ -1,6 +1,6 @@
 """All registered checks."""
 
-from checks import indicators  # noqa: F401
+from checks import indicators, joins, models, tables, trading  # noqa: F401
 from checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
