@@ -1 +1,7 @@
 """Registered queries over the test tables and the SQL each is checked against."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import sqltext as t
 from checks.registry import check, cut, rounded
-from checks.views import BARS, NUMBERED, bars, labelled_docs, table, vectors
+from checks.views import BARS, bars, labelled_docs, vectors
 from tickloom.operators import aggregate as agg
 from tickloom.operators import features, forecast, learn, rows, scaling
-from tickloom.plans import Series
+from tickloom.plans.scratch import stored
 
 ID = ("symbol", "date")
 COLS = ["close", "volume"]
@@ -89,7 +89,7 @@ def q_split_random(spark, folder):
 def screened(spark, folder):
     """Labelled prefix features, written once: the classifier reads them many times."""
     out = rows.rule_label(features.expanding_features(bars(spark, folder)))
-    return out.select(*ID, *features.SCREEN, "label").na.drop("any").persist()
+    return stored(out.select(*ID, *features.SCREEN, "label").na.drop("any"))
 
 
 @check("buy_classifier")
@@ -117,12 +117,18 @@ def q_screen_latest(spark, folder):
 
 
 def stock_vectors(spark, folder):
-    filled = rows.fill_mean(features.stock_features(bars(spark, folder)), features.VECTOR)
-    return learn.pca(filled.persist(), features.VECTOR).withColumnRenamed("components", "features")
+    """Components of the standardized stock features, missing ones at their mean."""
+    filled = rows.fill_mean(stored(features.stock_features(bars(spark, folder))), features.VECTOR)
+    return learn.pca(filled, features.VECTOR, out="features")
 
 
 def embedded(spark, folder):
-    return vectors(spark, folder).select("vec_id", array_to_vector("v").alias("features")).persist()
+    """Components of the embeddings, a wider input for the same steps."""
+    names = [f"v{i}" for i in range(64)]
+    wide = vectors(spark, folder).select(
+        "vec_id", *[F.col("v")[i].alias(c) for i, c in enumerate(names)]
+    )
+    return stored(learn.pca(wide, names, out="features"))
 
 
 @check("pca")
@@ -134,7 +140,7 @@ def q_pca(spark, folder):
 def clustering(name, method):
     @check(name)
     def stocks(spark, folder):
-        out = method(stock_vectors(spark, folder).persist(), 10)
+        out = method(stored(stock_vectors(spark, folder)), 10)
         return out.select("symbol", "cluster")
 
     @check(f"{name}_vectors")
@@ -160,7 +166,7 @@ def q_silhouette(spark, folder):
 
 @check("sentiment_classify")
 def q_sentiment(spark, folder):
-    docs = labelled_docs(spark, folder).persist()
+    docs = stored(labelled_docs(spark, folder))
     fit, test = scaling.split_random(docs, 0.2, ["doc_id"])
     model = learn.fit_sentiment(fit)
     return learn.sentiment_classify(model, test).select("doc_id", "sentiment")

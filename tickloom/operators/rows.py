@@ -34,13 +34,14 @@ def fill_const(df: DataFrame, value: float, cols: Sequence[str] | None = None) -
 
 
 def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Missing values take the column's mean over all rows (a one-row table joined to each)."""
-    means = df.agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
-    return (
-        df.join(F.broadcast(means))
-        .withColumns({c: F.coalesce(c, f"_mean_{c}") for c in cols})
-        .select(*df.columns)
-    )
+    """Missing values take the column's mean over all rows."""
+    out = beside(df, df.agg(*[F.avg(c).alias(c) for c in cols]), "_mean")
+    return out.withColumns({c: F.coalesce(c, f"_mean.{c}") for c in cols}).drop("_mean")
+
+
+def beside(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
+    """A one-row table on every row, as one struct column (a single scalar subquery)."""
+    return df.withColumn(name, stats.select(F.struct("*").alias("_row")).scalar())
 
 
 def row_index(df: DataFrame, name: str = "time_idx", series: Series = DAILY) -> DataFrame:
@@ -158,10 +159,9 @@ def recent_sample(
     ids = list(ids) or [order]
     latest = df.orderBy(F.col(order).desc(), *[F.col(i).asc() for i in ids]).limit(cap)
     ticket = F.md5(F.concat_ws("|", *[F.col(i).cast("string") for i in ids]))
-    enough = latest.agg((F.count(F.lit(1)) >= n).alias("_enough"))
+    enough = latest.agg((F.count(F.lit(1)) >= n).alias("ok"))
     return (
-        latest.join(F.broadcast(enough)).filter("_enough")
-        .withColumn("_ticket", ticket).orderBy("_ticket").limit(n)
+        latest.filter(enough.scalar()).withColumn("_ticket", ticket).orderBy("_ticket").limit(n)
         .select(*df.columns)
     )
 

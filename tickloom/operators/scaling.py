@@ -10,14 +10,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.rows import slice_rows
+from tickloom.operators.rows import beside, slice_rows
 from tickloom.plans import DAILY, Series
 
 
-def _fitted(stats: DataFrame) -> Column:
-    return stats.select(F.struct("*").alias("_fit")).scalar()
-
-
 def fit_standard(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean and population deviation of each column."""
     return df.agg(
@@ -32,18 +28,18 @@ def _width(std: Column) -> Column:
 
 def standardize(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(x - mean) / deviation; a constant column becomes 0."""
-    fit = _fitted(stats)
-    return df.withColumns(
+    fit = F.col("_fit")
+    return beside(df, stats, "_fit").withColumns(
         {c: (F.col(c) - fit[f"mean_{c}"]) / _width(fit[f"std_{c}"]) for c in cols}
-    )
+    ).drop("_fit")
 
 
 def unstandardize(df: DataFrame, stats: DataFrame, cols: Mapping[str, str]) -> DataFrame:
     """Back to the original scale; maps each column to the fitted column whose scale it has."""
-    fit = _fitted(stats)
-    return df.withColumns(
+    fit = F.col("_fit")
+    return beside(df, stats, "_fit").withColumns(
         {c: F.col(c) * _width(fit[f"std_{s}"]) + fit[f"mean_{s}"] for c, s in cols.items()}
-    )
+    ).drop("_fit")
 
 
 def fit_minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -54,18 +50,18 @@ def fit_minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def minmax_scale(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(x - min) / (max - min); a constant column becomes 0."""
-    fit = _fitted(stats)
-    return df.withColumns(
+    fit = F.col("_fit")
+    return beside(df, stats, "_fit").withColumns(
         {c: (F.col(c) - fit[f"min_{c}"]) / _width(fit[f"max_{c}"] - fit[f"min_{c}"]) for c in cols}
-    )
+    ).drop("_fit")
 
 
 def minmax_unscale(df: DataFrame, stats: DataFrame, cols: Mapping[str, str]) -> DataFrame:
-    fit = _fitted(stats)
-    return df.withColumns({
+    fit = F.col("_fit")
+    return beside(df, stats, "_fit").withColumns({
         c: F.col(c) * _width(fit[f"max_{s}"] - fit[f"min_{s}"]) + fit[f"min_{s}"]
         for c, s in cols.items()
-    })
+    }).drop("_fit")
 
 
 def inverse_softplus(y: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Running values from the start of a series: sum, product, count, last value seen.
+"""Running values from the start of a series: sum, product, count, first or last value seen.
 
 Long series are cut in time buckets. Each bucket is scanned on its own; one row per bucket
 (its total) is scanned across buckets to give the value carried in; a join on
@@ -31,6 +31,8 @@ class Running:
     def total(self, order: str) -> Column:
         if self.kind == "last":
             return F.max_by(self.value, F.when(self.value.isNotNull(), F.col(order)))
+        if self.kind == "first":
+            return F.min_by(self.value, F.when(self.value.isNotNull(), F.col(order)))
         return self._agg(self.value)
 
     def carried(self, total: Column, window: WindowSpec) -> Column:
@@ -39,12 +41,16 @@ class Running:
     def joined(self, carry: Column, local: Column) -> Column:
         if self.kind == "last":
             return F.coalesce(local, carry)
+        if self.kind == "first":
+            return F.coalesce(carry, local)
         both = carry * local if self.kind == "product" else carry + local
         return F.coalesce(both, local, carry)
 
     def _agg(self, value: Column) -> Column:
         if self.kind == "last":
             return F.last(value, ignorenulls=True)
+        if self.kind == "first":
+            return F.first(value, ignorenulls=True)
         return F.product(value) if self.kind == "product" else F.sum(value)
 
 
