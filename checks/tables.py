@@ -175,7 +175,7 @@ def q_stack(spark, folder):
 
 
 @check("tile", *t.STEPS, sql="""
-SELECT symbol, date, close, rep * 200 + t - (len - 200) AS time_idx
+SELECT symbol, date, close, rep * least(len, 200) + t - greatest(len - 200, 0) AS time_idx
 FROM numbered, (SELECT unnest(range(12)) AS rep) WHERE t >= len - 200""")
 def q_tile(spark, folder):
     segment = rows.slice_rows(bars(spark, folder).select("symbol", "date", "close"), -200)

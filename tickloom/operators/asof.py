@@ -5,7 +5,7 @@ Two exact plans, chosen from the schema:
 * calendar: an un-keyed right side dated by day is expanded to one row per day (so it is at
   most 366 rows a year) and broadcast; the left side is not shuffled.
 * points: otherwise the distinct left (key, time) points and the right rows are scanned
-  together and the last right row is carried forward, in time buckets with a carry per bucket.
+  together and the last right row is carried forward, in time buckets where a series is long.
   The answers are joined back by equality, so many left rows at one time cost one lookup.
 """
 
@@ -84,11 +84,12 @@ def _asof_points(
     both = given.select(*keys, at, "_match", F.lit(0).alias("_ask")).unionByName(
         asked.select(*keys, at, F.col("_match").cast(given.schema["_match"].dataType), F.lit(1).alias("_ask"))
     )
-    # A right row at the same time counts, so it sorts before the question.
-    series = Series(tuple(keys) or ("_all",), at, bucket=bucket)
     if not keys:
         both = both.withColumn("_all", F.lit(0))
-    answers = _last_seen(both, series).filter(F.col("_ask") == 1)
+    # A right row at the same time counts, so it sorts before the question.
+    series = Series(tuple(keys) or ("_all",), at, bucket=bucket, ties=("_ask",))
+    seen = Running("_seen", "last", F.col("_match"))
+    answers = with_running(both, [seen], series).filter(F.col("_ask") == 1)
     answers = answers.select(*keys, at, "_seen")
     same = [F.col(c) == F.col(n) for c, n in renamed.items()]
     return left.join(answers, same, "left").select(
@@ -96,29 +97,6 @@ def _asof_points(
     )
 
 
-def _last_seen(both: DataFrame, series: Series) -> DataFrame:
-    """The last right row up to each row, right rows first among equal times."""
-    order = F.struct(F.col(series.order), F.col("_ask"))
-    if series.cut_rows(both) is None:
-        w = Window.partitionBy(*series.keys).orderBy(series.order, "_ask")
-        return both.withColumn(
-            "_seen", F.last("_match", True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        )
-    numbered = both.withColumn("_bucket", series.bucket_of(both)).withColumn("_when", order)
-    fine = Series((*series.keys, "_bucket"), "_when", chunk_rows=None)
-    local = with_running(numbered, [Running("_here", "last", F.col("_match"))], fine)
-    cell = [*series.keys, "_bucket"]
-    totals = numbered.groupBy(*cell).agg(
-        F.max_by("_match", F.when(F.col("_match").isNotNull(), F.col("_when"))).alias("_end")
-    )
-    across = Window.partitionBy(*series.keys).orderBy("_bucket")
-    carried = totals.select(
-        *cell,
-        F.last("_end", True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_in"),
-    )
-    return local.join(carried, cell, "left").withColumn("_seen", F.coalesce("_here", "_in"))
-
-
 def align_panel(
     df: DataFrame, symbols: Sequence[str], value: str, index: str = "month", key: str = "symbol"
 ) -> DataFrame:

@@ -1,7 +1,7 @@
 """Running values from the start of a series: sum, product, count, first or last value seen.
 
-Long series are cut in time buckets. Each bucket is scanned on its own; one row per bucket
-(its total) is scanned across buckets to give the value carried in; a join on
+Long series are cut in time buckets. Each bucket is scanned on its own; the buckets' totals,
+one row each, are scanned in the same way to give the value entering each bucket; a join on
 (key, bucket) adds it. The large side of that join is already partitioned that way.
 """
 
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tickloom.plans.series import DAILY, Series
+from tickloom.plans.series import DAILY, Series, bucket_start
 
 
 @dataclass(frozen=True, eq=False)
@@ -28,23 +28,26 @@ class Running:
         upto = -1 if self.before else 0
         return self._agg(self.value).over(window.rowsBetween(Window.unboundedPreceding, upto))
 
-    def total(self, order: str) -> Column:
+    def total(self, value: Column, order: Column) -> Column:
+        """Value of a whole group of rows."""
+        present = F.when(value.isNotNull(), order)
         if self.kind == "last":
-            return F.max_by(self.value, F.when(self.value.isNotNull(), F.col(order)))
+            return F.max_by(value, present)
         if self.kind == "first":
-            return F.min_by(self.value, F.when(self.value.isNotNull(), F.col(order)))
-        return self._agg(self.value)
+            return F.min_by(value, present)
+        return self._agg(value)
 
-    def carried(self, total: Column, window: WindowSpec) -> Column:
+    def earlier(self, total: Column, window: WindowSpec) -> Column:
+        """Value of all earlier groups."""
         return self._agg(total).over(window.rowsBetween(Window.unboundedPreceding, -1))
 
-    def joined(self, carry: Column, local: Column) -> Column:
+    def joined(self, entering: Column, local: Column) -> Column:
         if self.kind == "last":
-            return F.coalesce(local, carry)
+            return F.coalesce(local, entering)
         if self.kind == "first":
-            return F.coalesce(carry, local)
-        both = carry * local if self.kind == "product" else carry + local
-        return F.coalesce(both, local, carry)
+            return F.coalesce(entering, local)
+        both = entering * local if self.kind == "product" else entering + local
+        return F.coalesce(both, local, entering)
 
     def _agg(self, value: Column) -> Column:
         if self.kind == "last":
@@ -66,17 +69,44 @@ def with_running(df: DataFrame, items: list[Running], series: Series = DAILY) ->
     if series.cut_rows(df) is None:
         return df.withColumns({i.name: i.over(series.window()) for i in items})
 
-    rows = df.withColumn("_bucket", series.bucket_of(df))
+    width, *wider = series.widths(df)
+    rows = df.withColumn("_bucket", bucket_start(series.clock(df), width))
     cell = [*series.keys, "_bucket"]
-    totals = rows.groupBy(*cell).agg(*[i.total(series.order).alias(i.name) for i in items])
-    across = Window.partitionBy(*series.keys).orderBy("_bucket")
-    carried = totals.select(
-        *cell, *[i.carried(F.col(i.name), across).alias(f"_in_{i.name}") for i in items]
-    )
-    inside = Window.partitionBy(*cell).orderBy(series.order)
+    order = F.struct(series.order, *series.ties) if series.ties else F.col(series.order)
+    totals = rows.groupBy(*cell).agg(*[i.total(i.value, order).alias(i.name) for i in items])
+    inside = Window.partitionBy(*cell).orderBy(series.order, *series.ties)
     local = rows.withColumns({i.name: i.over(inside) for i in items})
     return (
-        local.join(carried, cell, "left")
+        local.join(_entering(totals, items, series.keys, wider), cell, "left")
         .withColumns({i.name: i.joined(F.col(f"_in_{i.name}"), F.col(i.name)) for i in items})
         .select(*df.columns, *[i.name for i in items])
     )
+
+
+def _entering(
+    totals: DataFrame, items: list[Running], keys: list[str], widths: list[int]
+) -> DataFrame:
+    """Per (key, bucket): the value of everything before the bucket, as ``_in_<name>``."""
+    at = F.col("_bucket")
+    if not widths:
+        across = Window.partitionBy(*keys).orderBy("_bucket")
+        entering = {f"_in_{i.name}": i.earlier(F.col(i.name), across) for i in items}
+        return totals.withColumns(entering).select(*keys, "_bucket", *entering)
+
+    width, *wider = widths
+    grouped = totals.withColumn("_wide", bucket_start(at, width))
+    inside = Window.partitionBy(*keys, "_wide").orderBy("_bucket")
+    local = grouped.withColumns({f"_near_{i.name}": i.earlier(F.col(i.name), inside) for i in items})
+    outer = _entering(
+        grouped.groupBy(*keys, F.col("_wide")).agg(
+            *[i.total(F.col(i.name), at).alias(i.name) for i in items]
+        ).withColumnRenamed("_wide", "_bucket"),
+        items, keys, wider,
+    ).withColumnRenamed("_bucket", "_wide")
+    return local.join(outer, [*keys, "_wide"], "left").select(
+        *keys, "_bucket",
+        *[
+            i.joined(F.col(f"_in_{i.name}"), F.col(f"_near_{i.name}")).alias(f"_in_{i.name}")
+            for i in items
+        ],
+    )

@@ -1,12 +1,19 @@
 """What a series is, and how its rows are spread over tasks.
 
-A series is the set of rows sharing ``key``, ordered by ``order`` (unique within a key).
+A series is the set of rows sharing ``key``, ordered by ``order`` (unique within a key; keys
+are not NULL).
 
 * When ``order`` is a DATE the calendar bounds a series: one row per key and day is at most
   366 rows a year, whatever the size of the whole table. Such a series is one window group.
 * Any other order (timestamps, positions) has no such bound, and one key may hold a third of
-  all rows. Those series are cut: running values go by time bucket plus a carry per bucket,
-  fixed windows go by numbered chunk plus copied edge rows. No task sees a whole series.
+  all rows. Those series are cut: running values go by time bucket plus a value carried into
+  each bucket, fixed windows go by numbered chunk plus copied edge rows. No task sees a whole
+  series.
+
+Buckets are bounded too. A wide bucket is used alone only after a count shows that none holds
+more than ``GROUP_ROWS`` rows of a key; otherwise narrow buckets lie inside wide ones, and the
+uniqueness of the order bounds both: at most 10⁶ microseconds in a second or 65,536 positions in
+a narrow bucket, and 65,536 narrow buckets in a wide one.
 """
 
 from __future__ import annotations
@@ -18,7 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK_ROWS = 65_536
-HOUR_MICROS = 3_600_000_000
+GROUP_ROWS = 1 << 20
+# Narrow and wide bucket: seconds of a timestamp, units of a number.
+SECONDS, UNITS = (1, 1 << 16), (1 << 16, 1 << 32)
 
 
 @dataclass(frozen=True)
@@ -26,13 +35,15 @@ class Series:
     """Key and order of a series table, and the cutting of long series.
 
     ``chunk_rows``: "auto" cuts unless the order is a DATE; a number always cuts; None never does.
-    ``bucket``: width of a time bucket in units of the order column (days, microseconds, positions).
+    ``bucket``: widths of the time buckets, narrow to wide, in days, seconds or units; by default
+    chosen from the data. ``ties`` order rows of equal ``order`` in running values.
     """
 
     key: tuple[str, ...] | str = ("symbol",)
     order: str = "date"
     chunk_rows: int | str | None = "auto"
-    bucket: int | None = None
+    bucket: int | tuple[int, ...] | None = None
+    ties: tuple[str, ...] = ()
 
     @property
     def keys(self) -> list[str]:
@@ -42,29 +53,40 @@ class Series:
         """Rows per chunk, or None when a series may be one window group."""
         if self.chunk_rows != "auto":
             return self.chunk_rows
-        return None if self._is_date(df) else CHUNK_ROWS
+        return None if isinstance(df.schema[self.order].dataType, T.DateType) else CHUNK_ROWS
 
-    def bucket_of(self, df: DataFrame) -> Column:
-        """Deterministic time bucket of each row."""
+    def window(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys).orderBy(self.order, *self.ties)
+
+    def clock(self, df: DataFrame) -> Column:
+        """The order as a whole number of days, seconds or units."""
+        at, kind = F.col(self.order), df.schema[self.order].dataType
+        if isinstance(kind, T.DateType):
+            return F.unix_date(at).cast("bigint")
+        if isinstance(kind, T.TimestampType):
+            return F.unix_seconds(at)
+        if isinstance(kind, T.TimestampNTZType):
+            # From the calendar parts: no session time zone is involved.
+            day = F.unix_date(at.cast("date")).cast("bigint")
+            return day * 86_400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+        return F.floor(at).cast("bigint")
+
+    def widths(self, df: DataFrame) -> list[int]:
+        """Bucket widths, narrow to wide (see module text)."""
+        if self.bucket:
+            return list(self.bucket) if isinstance(self.bucket, tuple) else [self.bucket]
         kind = df.schema[self.order].dataType
         if isinstance(kind, T.DateType):
-            ticks, width = F.unix_date(self.order), self.cut_rows(df)
-        elif isinstance(kind, T.TimestampType):
-            ticks, width = F.unix_micros(self.order), HOUR_MICROS
-        elif isinstance(kind, T.TimestampNTZType):
-            # Whole seconds from the calendar parts: no session time zone is involved.
-            ts = F.col(self.order)
-            days, clock = F.unix_date(ts.cast("date")).cast("bigint"), F.hour(ts) * 3600 + F.minute(ts) * 60
-            ticks, width = (days * F.lit(86_400) + clock + F.second(ts)) * 1_000_000, HOUR_MICROS
-        else:
-            ticks, width = F.col(self.order), self.cut_rows(df)
-        return F.floor(ticks / F.lit(self.bucket or width)).cast("bigint")
+            return [CHUNK_ROWS]
+        times = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+        narrow, wide = SECONDS if times else UNITS
+        cells = df.groupBy(*self.keys, bucket_start(self.clock(df), wide)).count()
+        fullest = cells.agg(F.max("count")).first()[0] or 0
+        return [wide] if fullest <= GROUP_ROWS else [narrow, wide]
 
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(self.order)
 
-    def _is_date(self, df: DataFrame) -> bool:
-        return isinstance(df.schema[self.order].dataType, T.DateType)
+def bucket_start(clock: Column, width: int) -> Column:
+    return clock - F.pmod(clock, F.lit(width).cast("bigint"))
 
 
 DAILY = Series()

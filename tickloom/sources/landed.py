@@ -28,10 +28,12 @@ def parse_bar_envelope(df: DataFrame, body: str = "body", on_missing: str = "err
             "_results", F.when(F.col("_results").isNull(), problem).otherwise(F.col("_results"))
         )
     rest = [c for c in df.columns if c != body]
-    bars = parsed.select(*rest, F.inline("_results"))
+    # The outer form keeps the check out of any filter, which Spark could run on rows the
+    # caller has already left out.
+    bars = parsed.select(*rest, F.explode_outer("_results").alias("_bar")).filter("_bar IS NOT NULL")
     return bars.select(
-        *rest, from_epoch_millis(F.col("t")).alias("ts"),
-        *[F.col(short).alias(name) for short, name in FIELDS.items()],
+        *rest, from_epoch_millis(F.col("_bar.t")).alias("ts"),
+        *[F.col(f"_bar.{short}").alias(name) for short, name in FIELDS.items()],
     )
 
 
