@@ -15,6 +15,7 @@ from tickloom.functions import window as win
 from tickloom.operators import aggregate as agg
 from tickloom.operators import asof, features, rows
 from tickloom.plans import with_features
+from tickloom.plans.scratch import stored
 
 ID = ("symbol", "date")
 NAIVE = """
@@ -69,7 +70,7 @@ FROM bars b ASOF LEFT JOIN macro_quarter g ON b.date >= g.date
 ASOF LEFT JOIN macro_month c ON b.date >= c.date {CHAIN}""")
 def q_enrich(spark, folder):
     gdp = macro(spark, folder, "quarter", "gdp").withColumn("gdp", F.col("gdp") / 50)
-    daily = index_daily(spark, folder)
+    daily = stored(index_daily(spark, folder))
     sides = [gdp, macro(spark, folder, "month", "cpi")] + [
         daily.filter(F.col("series") == s).select("date", F.col("close").alias(c))
         for c, s in INDEXES.items()

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions.window import pct_change
 from tickloom.plans import DAILY, Running, Series, with_features, with_running
+from tickloom.plans.scratch import stored
 
 
 def asof_join(
@@ -37,9 +38,10 @@ def asof_join(
 def enrich_asof(left: DataFrame, rights: Sequence[DataFrame], on: str = "date") -> DataFrame:
     """Chain of as-of joins against daily or slower series: one broadcast calendar.
 
-    Right columns must not clash. Days after the last right row use its values.
+    Right columns must not clash. Days after the last right row use its values. The calendar, a
+    few hundred rows a year, is written once so that its sources are read once.
     """
-    calendar = daily_calendar(rights, on)
+    calendar = stored(daily_calendar(rights, on))
     values = [c for c in calendar.columns if c != on]
     end = calendar.agg(F.max(on)).scalar()
     looked_up = calendar.withColumnRenamed(on, "_day")
@@ -110,14 +112,24 @@ def broadcast_stat(
     """Mean and sample deviation of the returns of the whole series, on every row."""
     change = pct_change(price)
     rows = with_features(df, change, series=series)
-    stats = {"mean_return": F.avg(change.name), "volatility": F.stddev_samp(change.name)}
+    return series_stats(rows, change.name, series).select(*df.columns, *RETURN_STATS)
+
+
+RETURN_STATS = ["mean_return", "volatility"]
+
+
+def series_stats(df: DataFrame, change: str, series: Series = DAILY) -> DataFrame:
+    """Mean and sample deviation of a column over the whole series, on every row.
+
+    A calendar-bounded series needs no further exchange after its windows; statistics of a long
+    one are aggregated (map-side first) and joined.
+    """
+    stats = dict(zip(RETURN_STATS, (F.avg(change), F.stddev_samp(change))))
     if series.cut_rows(df) is None:
         whole = Window.partitionBy(*series.keys)
-        out = rows.withColumns({n: s.over(whole) for n, s in stats.items()})
-    else:
-        per = rows.groupBy(*series.keys).agg(*[s.alias(n) for n, s in stats.items()])
-        out = df.join(per, series.keys, "left")
-    return out.select(*df.columns, *stats)
+        return df.withColumns({n: s.over(whole) for n, s in stats.items()})
+    per = df.groupBy(*series.keys).agg(*[s.alias(n) for n, s in stats.items()])
+    return df.join(per, series.keys, "left").select(*df.columns, *stats)
 
 
 def _is_date(df: DataFrame, col: str) -> bool:

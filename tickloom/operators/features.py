@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import indicators as ind
 from tickloom.functions.window import pct_change
-from tickloom.operators.asof import broadcast_stat
+from tickloom.operators.asof import RETURN_STATS, series_stats
 from tickloom.operators.psar import psar
 from tickloom.operators.rows import slice_rows
 from tickloom.plans import DAILY, Series, with_features
@@ -19,16 +19,21 @@ VECTOR = [
 SCREEN = ["macd", "rsi", "band_position"]
 
 
+def _with_return_stats(rows: DataFrame, series: Series) -> DataFrame:
+    change = pct_change("close").name
+    return series_stats(rows, change, series).drop(change)
+
+
 def hand(df: DataFrame, series: Series = DAILY) -> DataFrame:
     """Ten features by hand-written formulas."""
     k, d = ind.stochastic()
     rows = with_features(
         df,
         ind.rsi_signed().named("rsi"), ind.macd_signal(), ind.avg_volume(),
-        ind.bollinger()[0], k, d, ind.smoothed("close", 12), ind.momentum(),
+        ind.bollinger()[0], k, d, ind.smoothed("close", 12), ind.momentum(), pct_change("close"),
         series=series,
     )
-    return broadcast_stat(rows, series=series)
+    return _with_return_stats(rows, series)
 
 
 def technical(df: DataFrame, series: Series = DAILY) -> DataFrame:
@@ -41,10 +46,10 @@ def technical(df: DataFrame, series: Series = DAILY) -> DataFrame:
         ind.rsi_wilder().named("rsi"), line.named("macd"), signal.named("macd_signal"),
         ind.avg_volume(), mid.named("bb_middle"), high.named("bb_high"), low.named("bb_low"),
         k, d, ind.smoothed("close", 12), ind.roc().named("momentum"),
-        *ind.ichimoku(), *ind.adx(), ind.cci(), ind.atr_wilder().named("atr"),
+        *ind.ichimoku(), *ind.adx(), ind.cci(), ind.atr_wilder().named("atr"), pct_change("close"),
         series=series,
     )
-    return psar(broadcast_stat(rows, series=series), series=series)
+    return psar(_with_return_stats(rows, series), series=series)
 
 
 def trader(df: DataFrame, series: Series = DAILY) -> DataFrame:
@@ -52,11 +57,11 @@ def trader(df: DataFrame, series: Series = DAILY) -> DataFrame:
     rows = with_features(
         df,
         ind.rsi_signed().named("rsi"), ind.macd(), ind.macd_signal(),
-        ind.atr_unsigned().named("atr"), ind.avg_volume(),
+        ind.atr_unsigned().named("atr"), ind.avg_volume(), pct_change("close"),
         series=series,
     )
-    names = ["mean_return", "volatility", "rsi", "macd", "macd_signal", "atr", "avg_volume"]
-    return broadcast_stat(rows, series=series).na.fill(0.0, subset=names)
+    names = [*RETURN_STATS, "rsi", "macd", "macd_signal", "atr", "avg_volume"]
+    return _with_return_stats(rows, series).na.fill(0.0, subset=names)
 
 
 def forecasting(

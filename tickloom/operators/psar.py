@@ -83,7 +83,7 @@ def run(
 def _relay(df: DataFrame, prices: tuple[str, str, str], series: Series, name: str) -> DataFrame:
     spark = df.sparkSession
     shared_folder(spark)  # makes sure that checkpoint() has a folder
-    spread, _, _, home = neighbourhood(df, [], WARM_ROWS, 0, series)
+    spread, home = neighbourhood(df, [], WARM_ROWS, 0, series)
     cells = spread.withColumn("_home", home).checkpoint()
     cell = [*series.keys, "_chunk"]
     states = T.ArrayType(T.DoubleType())

@@ -66,17 +66,25 @@ class Feature:
 def with_features(df: DataFrame, *features: Feature, series: Series = DAILY) -> DataFrame:
     """Append one column per feature."""
     needed = _closure(features)
-    running = {n.name: n for f in needed for n in f.needs if isinstance(n, Running)}
-    back = max((f.reach_back for f in features), default=0)
-    ahead = max((f.reach_ahead for f in features), default=0)
-    out, keys, order, home = neighbourhood(df, list(running.values()), back, ahead, series)
-    window = restarted = Window.partitionBy(*keys).orderBy(order)
+    running = list({n.name: n for f in needed for n in f.needs if isinstance(n, Running)}.values())
     blocks = [f.block for f in needed if f.block]
+    home = None
+    if series.cut_rows(df) is None:
+        out, keys, order = df, series.keys, series.order
+    else:
+        back = max((f.reach_back for f in features), default=0)
+        ahead = max((f.reach_ahead for f in features), default=0)
+        out, home = neighbourhood(df, running, back, ahead, series)
+        keys, order, running = [*series.keys, "_chunk"], "_pos", []
+
+    window = restarted = Window.partitionBy(*keys).orderBy(order)
     if blocks:
-        # Ordered by (block, order) both windows need the same sort: keys, block, order.
+        # Ordered by (block, order) all windows need the same sort: keys, block, order.
         out = out.withColumn(BLOCK, _block_number(out, order, window, min(blocks)))
         window = Window.partitionBy(*keys).orderBy(BLOCK, order)
         restarted = Window.partitionBy(*keys, BLOCK).orderBy(order)
+    if running:
+        out = out.withColumns({r.name: r.over(window) for r in running})
     for depth in range(max((f.depth for f in needed), default=-1) + 1):
         out = out.withColumns({
             f.name: f.expr(restarted if f.restarts else window)
@@ -90,21 +98,18 @@ def with_features(df: DataFrame, *features: Feature, series: Series = DAILY) ->
 
 def neighbourhood(
     df: DataFrame, running: list[Running], back: int, ahead: int, series: Series
-) -> tuple[DataFrame, list[str], str, Column | None]:
-    """Rows laid out so that ``back``/``ahead`` neighbours share a window group.
+) -> tuple[DataFrame, Column]:
+    """A long series in chunks (``_chunk``) of numbered rows (``_pos``) with their neighbours.
 
-    Returns the rows, the columns naming a group, the order column, and the predicate that
-    keeps each row once (None: all).
+    Rows near an edge appear in every chunk that reads them; the returned predicate keeps each
+    row once.
     """
     chunk = series.cut_rows(df)
-    if chunk is None:
-        return with_running(df, running, series), series.keys, series.order, None
     rows = with_running(df, [*running, position()], series)
     first = F.greatest(F.lit(0), F.floor((F.col("_pos") - 1 - ahead) / chunk))
     last = F.floor((F.col("_pos") - 1 + back) / chunk)
     spread = rows.withColumn("_chunk", F.explode(F.sequence(first, last)))
-    home = F.col("_chunk") == F.floor((F.col("_pos") - 1) / chunk)
-    return spread, [*series.keys, "_chunk"], "_pos", home
+    return spread, F.col("_chunk") == F.floor((F.col("_pos") - 1) / chunk)
 
 
 def _block_number(df: DataFrame, order: str, window: WindowSpec, size: int) -> Column:
