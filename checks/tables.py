@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import sqltext as t
 from checks.registry import check, cut, rounded
 from checks.views import (
-    BARS, MACRO_MONTH, NUMBERED, TICKS, bars, envelopes, labelled_docs, macro, table, ticks, vectors,
+    BARS, MACRO_MONTH, TICKS, bars, envelopes, labelled_docs, macro, table, ticks, vectors,
 )
 from tickloom.functions import indicators as ind
 from tickloom.functions import scalar as sc

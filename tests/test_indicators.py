@@ -19,6 +19,20 @@ def test_three_rsi_start_at_different_rows(spark):
     assert first == {"rsi_sma": 14, "rsi_sma0": 13, "rsi_wilder": 13, "rsi_signed": 14}
 
 
+def test_same_indicator_with_other_parameters(spark):
+    pdf = make_bars({"A": 60})
+    df = to_spark(spark, pdf)
+    with pytest.raises(ValueError, match="rsi_sma"):
+        with_features(df, ind.rsi_sma(n=14), ind.rsi_sma(n=7))
+    both = by_series(with_features(
+        df, ind.macd(), ind.macd(fast=5, slow=10).named("quick"), *ind.ichimoku(), ind.rsi_sma(n=7)
+    ))
+    c = pdf["close"]
+    want = c.ewm(span=5, adjust=False).mean() - c.ewm(span=10, adjust=False).mean()
+    assert close_to(both["quick"], want) and not close_to(both["quick"], both["macd"])
+    assert both["rsi_sma"].first_valid_index() == 7
+
+
 def test_rsi_edges(spark):
     up = make_bars({"UP": 30, "FLAT": 30})
     up["close"] = np.where(up.symbol == "UP", np.arange(60.0), 5.0)

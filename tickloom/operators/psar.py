@@ -9,8 +9,6 @@ state until none fails, so the result is the sequential one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window

@@ -32,7 +32,8 @@ class Feature:
     ``back`` / ``ahead``: rows its own expression reads before / after the current one.
     ``block``: the feature needs the series divided in blocks of at most that many rows (column
     ``_block``); ``restarts`` makes its window start anew in each block.
-    Equal names mean equal definitions, so shared inputs are computed once.
+    Built names spell out their parameters, so equal names mean equal definitions and shared
+    inputs are computed once. ``alias`` is the built name behind a short one.
     """
 
     name: str
@@ -42,9 +43,13 @@ class Feature:
     ahead: int = 0
     block: int | None = None
     restarts: bool = False
+    alias: str | None = None
 
     def named(self, name: str) -> Feature:
-        return self if name == self.name else Feature(name, lambda w: F.col(self.name), (self,))
+        if name == self.name:
+            return self
+        built = self.alias or self.name
+        return Feature(name, lambda w: F.col(built), self.needs if self.alias else (self,), alias=built)
 
     @property
     def inputs(self) -> list[Feature]:
@@ -129,4 +134,6 @@ def _closure(features: Iterable[Feature]) -> list[Feature]:
         if f.name not in found:
             found[f.name] = f
             todo.extend(f.inputs)
+        elif found[f.name].alias != f.alias:
+            raise ValueError(f"two different features are called {f.name!r}; use .named()")
     return list(found.values())

@@ -15,12 +15,12 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where the session names none (local tests) is one made, and set for later calls.
     """
-    root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set(SETTING, root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
