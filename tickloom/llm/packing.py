@@ -19,7 +19,8 @@ from tickloom.plans.scratch import stored
 UNITS = 64
 #: A combination has at most so many lengths.
 PARTS = 4
-REMEMBERED = 300_000
+#: Distinct words a worker remembers across its tasks; the memory is emptied beyond it.
+REMEMBERED = 1_200_000
 #: Sequence ids: those closed inside a task are task * 2**32 + n; shared ones start here.
 SHARED = 1 << 60
 #: White space that every such tokenizer drops; a word may hold other white space.
@@ -66,6 +67,16 @@ class WordIds:
         return [b"".join(map(get, words)) + self.end for words in split]
 
 
+_loaded: dict[tuple[str, int], WordIds] = {}
+
+
+def word_ids(path: str, end: int) -> WordIds:
+    """The encoder of a tokenizer file, read once in each worker."""
+    if (path, end) not in _loaded:
+        _loaded[path, end] = WordIds(path, end)
+    return _loaded[path, end]
+
+
 def powers_of(units: int) -> list[int]:
     """Powers of two that make up a number, largest first."""
     return [1 << b for b in reversed(range(units.bit_length())) if units >> b & 1]
@@ -240,7 +251,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, size: int, end: int, id_col:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words = WordIds(tokenizer, end)
+        words = word_ids(tokenizer, end)
         pieces = Pieces(TaskContext.get().partitionId(), size)
         schema = pa.schema([("task", pa.int32()), ("bin", pa.int32()), ("rank", pa.int64()), ("doc_id", pa.int64()),
                             ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
