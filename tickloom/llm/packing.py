@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tickloom.llm.merging import Pairs
 from tickloom.plans.scratch import stored
 
 #: Lengths are counted in units of so many tokens: 64 units fill a sequence of 4096.
@@ -25,6 +26,13 @@ REMEMBERED = 1_200_000
 SHARED = 1 << 60
 #: White space that every such tokenizer drops; a word may hold other white space.
 _WORDS = re.compile(r"[^\x20\t\n\r]+")
+#: Texts whose case, composition and classes of characters leave no doubt: ASCII and the letters of Latin-1.
+_PLAIN = re.compile(r"[\x20-\x7E\t\n\r\xC0-\xD6\xD8-\xF6\xF8-\xFF]*")
+#: How such a tokenizer splits a text in lower case.
+_PRETOKENS = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xDF-\xF6\xF8-\xFF]+|[0-9]|[^\x20\t\n\ra-z0-9\xDF-\xF6\xF8-\xFF]+")
+#: Longer pre-tokens are left to the tokenizer.
+LONG = 64
 
 _COLUMNS = T.StructType([
     T.StructField("task", T.IntegerType()), T.StructField("bin", T.IntegerType()),
@@ -37,34 +45,78 @@ _COLUMNS = T.StructType([
 
 
 class WordIds:
-    """Token ids of texts: every white-space separated word is encoded by the tokenizer once and remembered.
+    """Token ids of texts as the tokenizer gives them, for vocabularies that drop white space and end words.
 
-    Exact for tokenizers that drop white space and never join across it.
+    Texts of ASCII and Latin-1 letters are split and merged here, distinct words together and once; the words of
+    other texts, and words that are long or hold a special token, are encoded by the tokenizer itself.
     """
 
     def __init__(self, path: str, end: int):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end], dtype="<u4").tobytes()
         self.known: dict[str, bytes] = {}
+        self.whole: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        vocab, suffix = model["vocab"], model["end_of_word_suffix"]
+        letters = {c: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)[0][0] for c in map(chr, range(128))}
+        self.inner = np.array([vocab[letters[chr(c)]] if c < 128 else -1 for c in range(256)])
+        self.last = np.array([vocab[letters[chr(c)] + suffix] if c < 128 else -1 for c in range(256)])
+        high = {c: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
+        for c, shown in high.items():
+            for byte, mark in zip(c.encode(), shown, strict=True):
+                self.inner[byte], self.last[byte] = vocab[mark], vocab[mark + suffix]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.pairs = Pairs(((vocab[a], vocab[b], r, vocab[a + b]) for r, (a, b) in enumerate(merges)), len(vocab))
+
+    def learn(self, words: list[str]) -> None:
+        """Merge words (lower case, of the plain alphabet) together."""
+        long = [w for w in words if len(w) > LONG]
+        for word, got in zip(long, self.tokenizer.encode_batch_fast(long, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(got.ids, dtype="<u4").tobytes()
+        short = [w for w in words if len(w) <= LONG]
+        raw = [w.encode() for w in short]
+        sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        sym = self.inner[flat]
+        final = np.cumsum(sizes) - 1
+        sym[final] = self.last[flat[final]]
+        ids, owner = self.pairs.merge(sym, np.repeat(np.arange(len(raw)), sizes))
+        data = ids.astype("<u4").tobytes()
+        ends = (np.cumsum(np.bincount(owner, minlength=len(raw))) * 4).tolist()
+        start = 0
+        for word, stop in zip(short, ends, strict=True):
+            self.known[word] = data[start:stop]
+            start = stop
+
+    def foreign(self, words: list[str]) -> None:
+        """Encode white-space separated words by the tokenizer."""
+        for word, got in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.whole[word] = np.array(got.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, the closing id included."""
-        split = [_WORDS.findall(t) if t else [] for t in texts]
-        fresh = list({w for words in split for w in words}.difference(self.known))
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = list({w for words in split for w in words})
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i : i + 20_000]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(got.ids, dtype="<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) + self.end for words in split]
+        parts = []
+        for t in texts:
+            t = t or ""
+            plain = _PLAIN.fullmatch(t) and "<|" not in t
+            parts.append((self.known, _PRETOKENS.findall(t.lower())) if plain else (self.whole, _WORDS.findall(t)))
+        for known, learn in ((self.known, self.learn), (self.whole, self.foreign)):
+            used = [words for k, words in parts if k is known]
+            fresh = list({w for words in used for w in words if w not in known})
+            if len(known) + len(fresh) > REMEMBERED:
+                known.clear()
+                fresh = list({w for words in used for w in words})
+            for i in range(0, len(fresh), 50_000):
+                learn(fresh[i : i + 50_000])
+        return [b"".join(map(known.__getitem__, words)) + self.end for known, words in parts]
 
 
 _loaded: dict[tuple[str, int], WordIds] = {}

@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.merging import Pairs
+
 SPACE = "▁"
-NEVER = np.iinfo(np.int64).max
 #: Distinct pre-tokens a worker remembers; the memory is emptied beyond it.
 REMEMBERED = 400_000
 #: Pre-tokens of more symbols merge by a heap of their own, in n log n.
@@ -34,47 +35,13 @@ class PieceMerges:
         for piece, i in pieces.items():
             if len(piece) == 1:
                 self.chars[ord(piece)] = i
-        self.width = size + 1
         order = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in plain}, reverse=True))}
-        keys, ranks, into = [], [], []
-        for piece, i in pieces.items():
-            for cut in range(1, len(piece)):
-                left, right = pieces.get(piece[:cut]), pieces.get(piece[cut:])
-                if left is not None and right is not None:
-                    keys.append(left * self.width + right)
-                    ranks.append(order[sp.get_score(i)])
-                    into.append(i)
-        self.table = dict(zip(keys, zip(ranks, into, strict=True), strict=True))
-        self.bits = max(4, (len(keys) * 4).bit_length())
-        self.keys, self.ranks, self.into = self.slots(np.array(keys, dtype=np.int64), ranks, into)
+        self.pairs = Pairs((
+            (pieces[piece[:cut]], pieces[piece[cut:]], order[sp.get_score(i)], i)
+            for piece, i in pieces.items() for cut in range(1, len(piece))
+            if piece[:cut] in pieces and piece[cut:] in pieces), size)
         self.known: dict[str, int] = {}
 
-    def slots(self, keys: np.ndarray, ranks: list[int], into: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The table as open-addressed arrays; an empty slot has key -2 and rank NEVER."""
-        n = 1 << self.bits
-        key = np.full(n, -2, dtype=np.int64)
-        rank, result = np.full(n, NEVER, dtype=np.int64), np.full(n, -1, dtype=np.int64)
-        for k, slot, r, t in zip(keys.tolist(), self.slot(keys).tolist(), ranks, into, strict=True):
-            while key[slot] != -2:
-                slot = (slot + 1) % n
-            key[slot], rank[slot], result[slot] = k, r, t
-        return key, rank, result
-
-    def slot(self, key: np.ndarray) -> np.ndarray:
-        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and result of each pair; NEVER where the two don't join."""
-        key = np.where((left < 0) | (right < 0), -1, left * self.width + right)
-        at = self.slot(key)
-        seen = self.keys[at]
-        open_ = np.flatnonzero((seen != key) & (seen != -2))
-        while len(open_):
-            at[open_] = (at[open_] + 1) % len(self.keys)
-            seen = self.keys[at[open_]]
-            open_ = open_[(seen != key[open_]) & (seen != -2)]
-        return self.ranks[at], self.into[at]
-
     def symbols(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Characters of all pieces as ids (-1: not in the vocabulary), characters of each piece, and
         how many more tokens each takes for characters written as bytes."""
@@ -94,73 +61,13 @@ class PieceMerges:
         ends = np.cumsum(counts)
         left = counts.copy()
         for i in np.flatnonzero(counts > LONG):
-            left[i] = self.one(flat[ends[i] - counts[i] : ends[i]].tolist())
+            left[i] = self.pairs.count_long(flat[ends[i] - counts[i] : ends[i]].tolist())
         short = (counts <= LONG) & (counts > 1)
         rest = np.flatnonzero(short)
-        if len(rest):
-            owner = np.repeat(np.arange(len(rest)), counts[rest])
-            left[rest] = self.together(flat[np.repeat(short, counts)], owner, len(rest))
+        owner = np.repeat(np.arange(len(rest)), counts[rest])
+        left[rest] = np.bincount(self.pairs.merge(flat[np.repeat(short, counts)], owner)[1], minlength=len(rest))
         return (left + extra).tolist()
 
-    def together(self, sym: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-        """Every round, each sequence still moving joins its leftmost pair of lowest rank."""
-        done = np.zeros(n, dtype=np.int64)
-        rank, into = self.pairs(sym, owner)
-        while len(sym):
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            best = np.minimum.reduceat(rank, first)
-            sizes = np.diff(np.r_[first, len(sym)])
-            if not (moving := best != NEVER).all():
-                done[owner[first[~moving]]] = sizes[~moving]
-                keep = np.repeat(moving, sizes)
-                sym, owner, rank, into = sym[keep], owner[keep], rank[keep], into[keep]
-                if not len(sym):
-                    break
-                best, sizes = best[moving], sizes[moving]
-                first = np.cumsum(sizes) - sizes
-            hit = np.flatnonzero(rank == np.repeat(best, sizes))
-            at = hit[np.r_[True, owner[hit][1:] != owner[hit][:-1]]]
-            sym[at] = into[at]
-            keep = np.ones(len(sym), dtype=bool)
-            keep[at + 1] = False
-            new = at - np.arange(len(at))
-            sym, owner, rank, into = sym[keep], owner[keep], rank[keep], into[keep]
-            touched = np.concatenate((new, new[new > 0] - 1))
-            nxt = np.minimum(touched + 1, len(sym) - 1)
-            same = (touched + 1 < len(sym)) & (owner[nxt] == owner[touched])
-            r, t = self.find(sym[touched], np.where(same, sym[nxt], -1))
-            rank[touched], into[touched] = r, t
-        return done
-
-    def pairs(self, sym: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        nxt = np.where(np.r_[owner[1:] == owner[:-1], False], np.r_[sym[1:], -1], -1)
-        return self.find(sym, nxt)
-
-    def one(self, sym: list[int]) -> int:
-        """The same merges for one long sequence, by a heap of pairs."""
-        import heapq
-
-        n = len(sym)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank, into = self.find(np.array(sym[:-1]), np.array(sym[1:]))
-        heap = [(int(r), i, sym[i], sym[i + 1], int(t))
-                for i, (r, t) in enumerate(zip(rank.tolist(), into.tolist(), strict=True)) if r != NEVER]
-        heapq.heapify(heap)
-        alive, count = [True] * n, n
-        while heap:
-            _, i, a, b, t = heapq.heappop(heap)
-            j = after[i]
-            if not alive[i] or j >= n or sym[i] != a or sym[j] != b:
-                continue
-            sym[i], alive[j], count = t, False, count - 1
-            after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-            for x, y in ((before[i], i), (i, k)):
-                if x >= 0 and y < n and (m := self.table.get(sym[x] * self.width + sym[y] if sym[x] >= 0 <= sym[y] else -1)):
-                    heapq.heappush(heap, (m[0], x, sym[x], sym[y], m[1]))
-        return count
-
     def count(self, texts: Iterable[str | None]) -> list[int]:
         """Tokens of each text."""
         split = [_PIECES.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
