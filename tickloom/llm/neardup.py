@@ -21,10 +21,10 @@ BANDS, ROWS = 24, 5
 MINIMA = BANDS * ROWS
 #: Linked documents share this share of the union of their sets, in percent.
 PERCENT = 85
-#: Share of equal minima, over 5 deviations below PERCENT, under which a pair isn't read again.
-SIGNED = 0.66
+#: Share of equal minima, 5 deviations below PERCENT, under which a pair isn't read again.
+SIGNED = 0.68
 #: Members of a block of an unresolved bucket that are compared with each other.
-BLOCK = 128
+BLOCK = 512
 BROADCAST_ROWS = 1_000_000
 
 _random = np.random.default_rng(987654321)
