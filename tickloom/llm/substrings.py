@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.text import grams, hash_words, in_batches, mix, small, utf8
+from tickloom.llm.text import grams, hash_words, in_batches, mix, small, stretch_hashes, utf8
 from tickloom.plans.scratch import forget, stored
 
 WINDOW = 13
@@ -162,20 +162,35 @@ def anchored(rows: DataFrame, window: int) -> DataFrame:
 
 def segments(rows: DataFrame, window: int) -> DataFrame:
     """h, c, doc_id, seq, start, words: the words under each shared anchor. ``rows`` has doc_id, text and spots."""
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            texts = _words(frame["text"].tolist())
-            for doc, spots, (_, words) in zip(frame["doc_id"], frame["spots"], texts, strict=True):
-                own = sequence_hash(words)
-                short = words.astype(np.uint32)
-                for spot in spots:
-                    if spot["seq"] == own:
-                        a, z = spot["start"], spot["start"] + spot["n"] + window - 1
-                        out.append((spot["h"], sequence_hash(words[a:z]), doc, own, a, short[a:z].tobytes()))
-            yield pd.DataFrame(out, columns=["h", "c", "doc_id", "seq", "start", "words"])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["h", "c", "doc_id", "seq", "start", "words"]
 
-    return rows.mapInPandas(read, "h bigint, c bigint, doc_id bigint, seq bigint, start int, words binary")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                listed = part.column(2)
+                spots = {k: listed.flatten().field(k).to_numpy() for k in ("h", "seq", "start", "n")}
+                ends = np.cumsum(listed.value_lengths().to_numpy())
+                columns: list[list] = [[] for _ in names]
+                texts = _words(part.column(1).to_pylist())
+                for i, (doc, (_, words)) in enumerate(zip(part.column(0).to_pylist(), texts, strict=True)):
+                    here = slice(int(ends[i - 1]) if i else 0, int(ends[i]))
+                    own = sequence_hash(words)
+                    mine = spots["seq"][here] == own
+                    first = spots["start"][here][mine].astype(np.int64)
+                    stop = first + spots["n"][here][mine] + window - 1
+                    raw = words.astype(np.uint32).tobytes()
+                    k = len(first)
+                    for column, values in zip(columns, (
+                            spots["h"][here][mine], stretch_hashes(words, first, stop), np.full(k, doc), np.full(k, own),
+                            first, [raw[4 * x : 4 * y] for x, y in zip(first.tolist(), stop.tolist(), strict=True)]),
+                            strict=True):
+                        column.append(values)
+                yield _batches([*(np.concatenate(c) for c in columns[:5]), [w for ws in columns[5] for w in ws]], kinds, names)
+
+    return rows.select("doc_id", "text", "spots").mapInArrow(
+        read, "h bigint, c bigint, doc_id bigint, seq bigint, start int, words binary")
 
 
 def first_documents(distinct: DataFrame, window: int) -> DataFrame:
@@ -276,13 +291,14 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     fresh = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").join(copies, "doc_id", "left_anti")
 
     spots = anchored(fresh, window)
-    shared = spots.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h")
+    # written, so that the join below shuffles both sides and a hot anchor's rows may be split
+    shared = stored(spots.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h"))
     found = stored(spots.join(shared, "h").groupBy("doc_id").agg(
         F.collect_list(F.struct("h", "seq", "start", "n")).alias("spots")))
     holders = small(found.select("doc_id"), BROADCAST_ROWS)
     held = fresh.join(holders, "doc_id", "left_semi").join(found, "doc_id")
     pieces = stored(segments(held, window))
-    forget(found)
+    forget(shared, found)
     distinct = stored(pieces.groupBy("h", "c").agg(F.min("doc_id").alias("doc_id"), F.first("words").alias("words")))
     firsts = stored(first_documents(distinct, window).where(F.size("firsts") > 0))
     places = F.filter(F.transform("firsts", lambda x, i: F.when(x < F.col("doc_id"), i)), lambda i: i.isNotNull())

@@ -70,6 +70,14 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
+def stretch_hashes(words: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of the words ``first .. stop`` of each stretch, by differences of running sums."""
+    _grow(len(words) + 1)
+    sums = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * _powers[: len(words)], out=sums[1:])
+    return mix(mix((sums[stop] - sums[first]) * _inverses[first]) + (stop - first).astype(np.uint64)).view(np.int64)
+
+
 def shingle_set(words: np.ndarray, n: int = 5) -> np.ndarray:
     """Distinct ``n``-word shingles, sorted; of fewer words the whole sequence; none of no words."""
     if 0 < len(words) < n:
