@@ -44,4 +44,5 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == last or mark["n"] == 0:
             break
         last = mark
-    return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+    stars = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+    return stars.union(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
