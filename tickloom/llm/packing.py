@@ -21,7 +21,7 @@ UNITS = 64
 #: A combination has at most so many lengths.
 PARTS = 4
 #: Distinct words a worker remembers across its tasks; the memory is emptied beyond it.
-REMEMBERED = 1_200_000
+REMEMBERED = 250_000
 #: Sequence ids: those closed inside a task are task * 2**32 + n; shared ones start here.
 SHARED = 1 << 60
 #: White space that every such tokenizer drops; a word may hold other white space.

@@ -20,7 +20,7 @@ _powers = np.ones(1, dtype=np.uint64)
 _inverses = np.ones(1, dtype=np.uint64)
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:

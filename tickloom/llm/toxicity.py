@@ -39,7 +39,7 @@ _RUN = re.compile(r"(.)\1{2,}")
 PREFIXES = (4, 5, 6)
 NAMES = ("hits", "distinct", "density", "strongest", "strength", "disguised", "near_second", "second_rate",
          "capitals", "upper_words", "punctuation", "exclaims", "odd_rate", "runs", "mean_word", "log_words", "top_weight")
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 def terms(word: str) -> list[str]:
