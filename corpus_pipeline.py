@@ -12,6 +12,7 @@ from tickloom.llm.neardup import without_copies
 from tickloom.llm.packing import pack
 from tickloom.llm.queries import table, tokenizer_path
 from tickloom.llm.secrets import masked
+from tickloom.llm.text import bounded_batches
 from tickloom.llm.toxicity import fit
 from tickloom.plans.scratch import stored
 
@@ -36,6 +37,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked and n_chars counted anew."""
+    bounded_batches(spark)
     hidden = docs.withColumn("text", masked(F.col("text")))
     return hidden.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.text import hash_words, in_batches, mix, shingle_set, small, utf8
+from tickloom.llm.text import bounded_batches, hash_words, in_batches, mix, shingle_set, small, utf8
 from tickloom.plans.scratch import stored
 
 WORDS = 5
@@ -192,6 +192,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read; no rows give no rows.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    bounded_batches(docs.sparkSession)
     sets = stored(signed(rows))
     real = sets.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
     chosen = real.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("m"))

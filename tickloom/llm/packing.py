@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tickloom.llm.merging import Pairs
+from tickloom.llm.text import bounded_batches
 from tickloom.plans.scratch import stored
 
 #: Lengths are counted in units of so many tokens: 64 units fill a sequence of 4096.
@@ -349,6 +350,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end: int = 2, id_col
     """
     if size % UNITS or size & (size - 1):
         raise ValueError(f"size must be a power of two and a multiple of {UNITS}, not {size}")
+    bounded_batches(docs.sparkSession)
     pieces = stored(cut_documents(docs, tokenizer, size, end, id_col, text_col))
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     closed = pieces.where(F.col("bin") == 0).select(*columns)

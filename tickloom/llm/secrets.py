@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.text import bounded_batches
+
 #: The kinds in the order in which equal starts are listed, and their patterns.
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(
@@ -111,6 +113,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out.insert(0, "doc_id", frame["doc_id"].to_numpy())
             yield out
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # an id travels as text: pandas would turn a batch with a null id into floats
     kind = rows.schema["doc_id"].dataType.simpleString()

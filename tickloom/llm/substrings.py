@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.text import grams, hash_words, in_batches, mix, small, stretch_hashes, utf8
+from tickloom.llm.text import bounded_batches, grams, hash_words, in_batches, mix, small, stretch_hashes, utf8
 from tickloom.plans.scratch import forget, stored
 
 WINDOW = 13
@@ -281,6 +281,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     second table has doc_id, seq, n_removed, sha and the kept words of the rest that lose words.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    bounded_batches(docs.sparkSession)
     seen = stored(sequences(rows))
     least = seen.where("doc_id IS NOT NULL").groupBy("seq", "n_words").agg(F.min("doc_id").alias("first"))
     whole = stored(seen.join(least, ["seq", "n_words"], "left").withColumn(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The characters that end a word, as a Java and Python pattern.
@@ -104,6 +104,13 @@ def utf8(texts, lower: bool = False) -> list[bytes]:
     return [t.translate(LOWER) for t in out] if lower else out
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Have Arrow batches of at most ``rows`` rows in this session: whole texts make the default ones large."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= rows:
+        spark.conf.set(setting, rows)
+
+
 def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string")
 
@@ -121,8 +128,3 @@ def fold(text: Column) -> Column:
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Marked for broadcast if it has been counted and has at most ``rows`` rows; else left to a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def batch_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the id and the text, under names of our own."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.merging import Pairs
+from tickloom.llm.text import bounded_batches
 
 SPACE = "▁"
 #: Distinct pre-tokens a worker remembers; the memory is emptied beyond it.
@@ -113,6 +114,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
                      pa.array(table.count(texts), pa.int64())],
                     names=["doc_id", "n_bytes", "n_tokens"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = rows.mapInArrow(counted, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")

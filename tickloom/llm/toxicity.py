@@ -17,7 +17,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.text import small
+from tickloom.llm.text import bounded_batches, small
 from tickloom.plans.scratch import stored
 
 #: Labelled rows the model is fitted on, about; more are thinned by a hash of their id.
@@ -183,6 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     a document, rows with a null id, label or both, and repeated labels of an id (the largest counts) do no
     harm; labels with one class alone give a constant score.
     """
+    bounded_batches(docs.sparkSession)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("t_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     fitting = known.where(~held_out(F.col("t_id")))
