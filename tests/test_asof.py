@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import by_series, close_to, make_bars, to_spark
 from tickloom.operators.asof import align_panel, asof_join, daily_calendar, enrich_asof
@@ -88,3 +89,19 @@ def test_panel(spark):
     df = spark.createDataFrame([("A", "m1", 1.0), ("B", "m2", 2.0)], "symbol string, month string, v double")
     rows = {r.month: (r.A, r.B, r.C) for r in align_panel(df, ["A", "B", "C"], "v").collect()}
     assert rows == {"m1": (1.0, None, None), "m2": (None, 2.0, None)}
+
+
+def test_missing_days_match_nothing(spark):
+    left = spark.createDataFrame([(1, None), (2, date(2000, 1, 5))], "i int, date date")
+    for plan in (enrich_asof(left, [dated(spark, [("2000-01-02", 2.0)], "x")]),
+                 asof_join(left.withColumn("k", F.lit(1)), dated(spark, [("2000-01-02", 2.0)], "x").withColumn("k", F.lit(1)), by=["k"])):
+        assert {r.i: r.x for r in plan.collect()} == {1: None, 2: 2.0}
+
+
+def test_clashing_names_get_suffixes(spark):
+    left = spark.createDataFrame([(date(2000, 1, 5), 1.0)], "date date, close double")
+    rights = [dated(spark, [("2000-01-02", 2.0)], "close"), dated(spark, [("2000-01-03", 3.0)], "close")]
+    row = enrich_asof(left, rights, suffixes=["_q", "_d"]).first()
+    assert (row.close, row.close_q, row.close_d) == (1.0, 2.0, 3.0)
+    with pytest.raises(ValueError, match="clashing"):
+        enrich_asof(left, rights, suffixes=["", "_d"])

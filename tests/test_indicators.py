@@ -105,3 +105,18 @@ def test_expanding_features_equal_prefix_recomputation(spark):
     for i in (50, 63):
         prefix = by_series(features.screen(to_spark(spark, pdf[:i]))).iloc[-1]
         assert close_to(got.iloc[i - 50][features.SCREEN], prefix[features.SCREEN])
+
+
+def test_psar_starts_at_the_first_complete_bar():
+    import numpy as np
+
+    from tickloom.operators.psar import run
+
+    rng = np.random.default_rng(3)
+    close = 50 + np.cumsum(rng.normal(0, 1, 40))
+    high, low = close + 1, close - 1
+    whole, _, _ = run(high[1:], low[1:], close[1:])
+    broken = high.copy()
+    broken[0] = np.nan
+    levels, _, _ = run(broken, low, close)
+    assert np.isnan(levels[0]) and np.allclose(levels[1:], whole)

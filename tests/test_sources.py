@@ -70,3 +70,15 @@ def test_scalars(spark):
     assert (row.long, row.short, row.mid) == ([1, 2, 3, 0, 0], [1, 2], 2.0)
     assert row.tokens == ["Čas", "je", "3x", "zlato", ""] and row["mask"] == [1, 1, 1, 1, 0]
     assert row.prompt.startswith("News: N The news has sentiment: positive.")
+
+
+def test_folder_of_differing_headers(spark, tmp_path):
+    (tmp_path / "AA.csv").write_text("date,open,high,low,close,volume\n2020-01-02,1,3,0.5,2,10\n2020-01-03,.,3,0.5,2,10\n")
+    (tmp_path / "BB.csv").write_text("Date,Close,High,Low,Open,Volume\n2020-01-02,5,6,3,4,20\n")
+    (tmp_path / "CC.csv").write_text("volume,date,close\n7,2020-01-02,9\n")
+    got = {(r.symbol, r.date.day): r for r in read_bars_dir(spark, str(tmp_path)).collect()}
+    assert (got["AA", 2].open, got["AA", 2].close) == (1.0, 2.0) and got["AA", 3].open is None
+    assert (got["BB", 2].open, got["BB", 2].close, got["BB", 2].low) == (4.0, 5.0, 3.0)
+    assert (got["CC", 2].volume, got["CC", 2].close, got["CC", 2].high) == (7.0, 9.0, None)
+    (tmp_path / "none").mkdir()
+    assert read_bars_dir(spark, str(tmp_path / "none")).count() == 0

@@ -35,23 +35,39 @@ def asof_join(
     return _asof_points(left, right, on, list(by), bucket)
 
 
-def enrich_asof(left: DataFrame, rights: Sequence[DataFrame], on: str = "date") -> DataFrame:
+def enrich_asof(
+    left: DataFrame, rights: Sequence[DataFrame], on: str = "date", suffixes: Sequence[str] | None = None
+) -> DataFrame:
     """Chain of as-of joins against daily or slower series: one broadcast calendar.
 
-    Right columns must not clash. Days after the last right row use its values. The calendar, a
+    ``suffixes``, one for each right side, are put behind its columns whose names the left side or an earlier
+    right side has; without them names must not clash. A left row without a day matches nothing. Days after the last right row use its values. The calendar, a
     few hundred rows a year, is written once so that its sources are read once.
     """
+    if suffixes is not None:
+        rights = _renamed(left, rights, on, suffixes)
     calendar = stored(daily_calendar(rights, on))
     values = [c for c in calendar.columns if c != on]
     end = calendar.agg(F.max(on)).scalar()
     looked_up = calendar.withColumnRenamed(on, "_day")
     return (
-        left.withColumn("_day", F.least(F.col(on), end))
+        left.withColumn("_day", F.when(F.col(on).isNotNull(), F.least(F.col(on), end)))
         .join(F.broadcast(looked_up), "_day", "left")
         .select(*left.columns, *values)
     )
 
 
+def _renamed(left: DataFrame, rights: Sequence[DataFrame], on: str, suffixes: Sequence[str]) -> list[DataFrame]:
+    taken, out = set(left.columns), []
+    for right, suffix in zip(rights, suffixes, strict=True):
+        names = {c: c + suffix if c in taken else c for c in right.columns if c != on}
+        if len(set(names.values()) | taken) < len(names) + len(taken):
+            raise ValueError(f"suffix {suffix!r} leaves clashing names: {sorted(names.values())}")
+        taken |= set(names.values())
+        out.append(right.withColumnsRenamed(names))
+    return out
+
+
 def daily_calendar(rights: Sequence[DataFrame], on: str = "date") -> DataFrame:
     """One row per day from the first to the last right row, holding the values then known."""
     stacked, names = None, []

@@ -61,6 +61,9 @@ def run(
     for i, (h, l, c) in enumerate(zip(high.tolist(), low.tolist(), close.tolist())):
         if i == mark:
             marked = [seen, rising, sar, ep, af, h1, h2, l1, l2]
+        if not (h == h and l == l and c == c):
+            out[i] = np.nan
+            continue
         if seen < 2:
             sar = c
             if seen == 0:

@@ -172,8 +172,8 @@ def forward_fill(
 ) -> DataFrame:
     """Insert the missing time steps of each series and carry the last values over them.
 
-    The steps a row opens (itself up to the next row's) come from the row alone, so no
-    calendar is joined and values need no lookup.
+    ``step`` is in days of a date, seconds of a timestamp, units of a number. The steps a row opens
+    (itself up to the next row's) come from the row alone, so no calendar is joined and values need no lookup.
     """
     filled = with_running(
         df, [Running(f"_f_{c}", "last", F.col(c)) for c in cols], series
@@ -185,6 +185,9 @@ def forward_fill(
     if dates:
         last = F.coalesce(F.date_sub(until, 1), here)
         steps = F.sequence(here, F.greatest(last, here), F.expr(f"interval {step} day"))
+    elif dict(df.dtypes)[series.order].startswith("timestamp"):
+        last = F.coalesce(until - F.expr("interval 1 microsecond"), here)
+        steps = F.sequence(here, F.greatest(last, here), F.expr(f"interval {step} second"))
     else:
         last = F.coalesce(until - 1, here)
         steps = F.sequence(here, F.greatest(last, here), F.lit(step).cast(df.schema[series.order].dataType))

@@ -12,6 +12,14 @@ BAR_TYPES = {
     "close": "double", "volume": "double",
 }
 
+#: A line that names columns has one called date.
+HEADER = r'(^|,)[\s"\x{FEFF}]*date[\s"]*(,|$)'
+
+
+def _path() -> Column:
+    """The scan's path, which is percent-encoded, decoded."""
+    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+
 
 def read_bars_csv(
     spark: SparkSession, path: str | Sequence[str], symbol: str | None = None
@@ -26,15 +34,29 @@ def read_bars_dir(
 ) -> DataFrame:
     """Every ``*.csv`` below a folder as one long table; the path names the symbol.
 
-    ``symbol_pattern``: its first group is taken from the decoded file path.
+    ``symbol_pattern``: its first group is taken from the decoded file path. Files are grouped by header, one
+    small row for each file, and each group is scanned under its own names, so columns may stand in any order.
+    A cell that is not a number or a date becomes NULL.
     """
-    raw = (
-        spark.read.option("header", True).option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True).csv(folder)
+    lines = (
+        spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(folder)
+        .select(_path().alias("path"), "value").where(F.lower("value").rlike(HEADER))
     )
-    # The scan's path is percent-encoded.
-    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
-    return _typed(raw, F.regexp_extract(path, symbol_pattern, 1).alias("symbol"))
+    headers = lines.groupBy(F.regexp_replace("value", r'[\r"\x{FEFF}]', "").alias("header")).agg(
+        F.collect_set("path").alias("paths")).collect()
+    parts = [_bars(spark, r["header"], sorted(r["paths"]), symbol_pattern) for r in sorted(headers)]
+    if not parts:
+        return spark.createDataFrame([], ", ".join(["symbol string", *(f"{c} {t}" for c, t in BAR_TYPES.items())]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _bars(spark: SparkSession, header: str, paths: list[str], symbol_pattern: str) -> DataFrame:
+    schema = ", ".join(f"`{c.strip()}` string" for c in header.split(","))
+    raw = spark.read.schema(schema).option("header", True).csv(paths)
+    return _typed(raw, F.regexp_extract(_path(), symbol_pattern, 1).alias("symbol"))
 
 
 def read_series_csv(
@@ -46,7 +68,7 @@ def read_series_csv(
     day = found[date.lower()]
     value = found.get(name.lower()) or next(c for c in raw.columns if c != day)
     return raw.select(
-        F.col(f"`{day}`").cast("date").alias("date"), F.col(f"`{value}`").cast("double").alias(name)
+        F.col(f"`{day}`").try_cast("date").alias("date"), F.col(f"`{value}`").try_cast("double").alias(name)
     ).na.drop("any")
 
 
@@ -54,5 +76,5 @@ def _typed(raw: DataFrame, *extra: Column) -> DataFrame:
     found = {c.lower().strip(): c for c in raw.columns}
     return raw.select(
         *extra,
-        *[F.col(f"`{found[c]}`").cast(t).alias(c) for c, t in BAR_TYPES.items() if c in found],
+        *[F.col(f"`{found[c]}`").try_cast(t).alias(c) for c, t in BAR_TYPES.items() if c in found],
     )
