@@ -243,6 +243,25 @@ def tick_ema(spark, folder):
     return rounded(out.select("user_id", "ts", "ema"), "ema")
 
 
+# Values of four days in five are missing, so whole stretches of a user are.
+@check("tick_ema_gaps", TICKS, """
+n AS (SELECT user_id, ts, CASE WHEN day(ts) % 5 = 1 THEN value END AS x,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts) AS t FROM ticks)""", """
+e AS (SELECT user_id, ts, t, x AS y, 1.0::DOUBLE AS w FROM n WHERE t = 1
+      UNION ALL
+      SELECT n.user_id, n.ts, n.t,
+             CASE WHEN n.x IS NULL THEN e.y WHEN e.y IS NULL THEN n.x
+                  ELSE (e.w * 11 / 13 * e.y + 2.0 / 13 * n.x) / (e.w * 11 / 13 + 2.0 / 13) END,
+             CASE WHEN n.x IS NULL THEN e.w * 11 / 13 ELSE 1 END
+      FROM e JOIN n ON n.user_id = e.user_id AND n.t = e.t + 1)""", recursive=True,
+       sql=f"SELECT user_id, ts, {cut('y')} AS ema FROM e")
+def tick_ema_gaps(spark, folder):
+    gappy = ticks(spark, folder).withColumn("value", F.expr("CASE WHEN day(ts) % 5 = 1 THEN value END"))
+    series = Series("user_id", "ts", chunk_rows=10)
+    out = with_features(gappy, rec.ema("value", 12).named("ema"), series=series)
+    return rounded(out.select("user_id", "ts", "ema"), "ema")
+
+
 @check("tick_cum_sum", TICKS, sql=f"""
 SELECT user_id, ts, {cut("sum(value) OVER u")} AS total, row_number() OVER u - 1 AS time_idx
 FROM ticks WINDOW u AS (PARTITION BY user_id ORDER BY ts)""")

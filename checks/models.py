@@ -219,13 +219,13 @@ def window_list(col: str, frame: str) -> str:
 m AS (SELECT symbol, date, t, close, volume FROM numbered)""", sql=f"""
 SELECT symbol, date, len(e) AS encoder_length, len(d) AS decoder_length, e[1] AS first_value,
        e[-1] AS last_value, {cut("list_sum(v)")} AS volume, d[-1] AS target
-FROM (SELECT symbol, date, {window_list("close", "29 PRECEDING AND CURRENT ROW")} AS e,
-             {window_list("volume", "29 PRECEDING AND CURRENT ROW")} AS v,
-             {window_list("close", "1 FOLLOWING AND 5 FOLLOWING")} AS d FROM m)
-WHERE len(e) >= 15 AND len(d) >= 1""")
+FROM (SELECT symbol, date, {window_list("close", "364 PRECEDING AND CURRENT ROW")} AS e,
+             {window_list("volume", "364 PRECEDING AND CURRENT ROW")} AS v,
+             {window_list("close", "1 FOLLOWING AND 65 FOLLOWING")} AS d FROM m)
+WHERE len(e) >= 182 AND len(d) >= 1""")
 def q_samples(spark, folder):
     numbered = rows.row_index(bars(spark, folder))
-    out = forecast.forecast_samples(numbered, ["time_idx"], ["close", "volume"], 30, 5)
+    out = forecast.forecast_samples(numbered, ["time_idx"], ["close", "volume"], 365, 65)
     volume = F.aggregate("encoder", F.lit(0.0), lambda s, e: s + e["volume"])
     return rounded(out.select(
         *ID, "encoder_length", F.size("decoder").alias("decoder_length"),

@@ -175,11 +175,10 @@ def q_stack(spark, folder):
 
 
 @check("tile", *t.STEPS, sql="""
-SELECT symbol, date, close, rep * least(len, 200) + t - greatest(len - 200, 0) AS time_idx
-FROM numbered, (SELECT unnest(range(12)) AS rep) WHERE t >= len - 200""")
+SELECT symbol, date, close, rep * len + t AS time_idx
+FROM numbered, (SELECT unnest(range(12)) AS rep)""")
 def q_tile(spark, folder):
-    segment = rows.slice_rows(bars(spark, folder).select("symbol", "date", "close"), -200)
-    return rows.tile(segment, 12, "time_idx")
+    return rows.tile(bars(spark, folder).select("symbol", "date", "close"), 12, "time_idx")
 
 
 @check("recent_sample", BARS, sql="""

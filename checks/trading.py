@@ -104,13 +104,12 @@ def q_hold(spark, folder):
 SELECT symbol, t AS idx, close, {cut("close")} AS buy_and_hold,
        {cut('''first_value(close) OVER (PARTITION BY symbol ORDER BY t)
        + sum(reward) OVER (PARTITION BY symbol ORDER BY t)''')} AS equity
-FROM book WHERE t < 1200""")
+FROM book""")
 def q_compare(spark, folder):
     held = rows.row_index(book.buy_and_hold(bars(spark, folder)), "idx")
     earned = rows.row_index(book.equity_curve(rewarded(spark, folder)), "idx")
     both = book.compare_strategies(
         held.select("symbol", "idx", "close", "buy_and_hold"),
-        # The portfolio is followed for 1200 steps, shorter than the price history.
-        earned.filter("idx < 1200").select("symbol", "idx", "equity"),
+        earned.select("symbol", "idx", "equity"),
     )
     return rounded(both, "buy_and_hold", "equity")

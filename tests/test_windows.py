@@ -6,7 +6,7 @@ import pytest
 from conftest import by_series, close_to, make_bars, to_spark
 from tickloom import DAILY, Running, Series, with_features, with_running
 from tickloom.functions import window as win
-from tickloom.functions.recurrence import ema, memory, wilder
+from tickloom.functions.recurrence import ema, wilder
 from pyspark.sql import functions as F
 
 CUT = Series(chunk_rows=37, bucket=50)
@@ -77,13 +77,39 @@ def test_seeded_wilder(spark, series):
     assert close_to(out["y"], want)
 
 
-def test_memory_covers_gaps():
-    """The halo length holds for the worst gap pattern, not only for dense series."""
-    a, rows = 2 / 13, memory(2 / 13)
-    for gap in range(1, 30):
-        keep = (1 - a) ** gap
-        weight = (keep / (keep + a)) ** (rows / gap)
-        assert weight < 2e-17
+@pytest.mark.parametrize("series", [DAILY, CUT], ids=["whole", "cut"])
+def test_averages_survive_long_gaps(spark, series, monkeypatch):
+    """Runs of missing values longer than chunks, and one in which the old average dies out."""
+    monkeypatch.setattr("tickloom.plans.running.FAN", 3)
+    pdf = make_bars({"A": 700, "B": 400, "C": 1500})
+    pdf["close"] = pdf["close"].where(~((pdf.symbol == "A") & pdf.index.isin(range(60, 640))))
+    pdf["close"] = pdf["close"].where(~((pdf.symbol == "B") & (pdf.groupby("symbol").cumcount() % 90 > 0)))
+    pdf["close"] = pdf["close"].where(~((pdf.symbol == "C") & pdf.groupby("symbol").cumcount().between(3, 1480)))
+    out = by_series(with_features(
+        to_spark(spark, pdf), ema("close", 2).named("fast"), ema("close", 12, 4).named("warm"),
+        wilder("close", 5).named("wilder"), wilder("close", 5, True).named("seeded"),
+        ema(ema("close", 12), 9).named("twice"), win.shift(ema("close", 12), 3).named("late"),
+        series=series,
+    ))
+    g = pdf.groupby("symbol")["close"]
+    assert close_to(out["fast"], g.transform(lambda s: s.ewm(span=2, adjust=False).mean()))
+    assert close_to(out["warm"], g.transform(lambda s: s.ewm(span=12, adjust=False, min_periods=4).mean()))
+    assert close_to(out["wilder"], g.transform(lambda s: s.ewm(alpha=0.2, adjust=False, min_periods=5).mean()))
+    once = g.transform(lambda s: s.ewm(span=12, adjust=False).mean())
+    assert close_to(out["twice"], once.groupby(pdf.symbol).transform(lambda s: s.ewm(span=9, adjust=False).mean()))
+    assert close_to(out["late"], once.groupby(pdf.symbol).shift(3))
+    # Fifth values stand in row 4 of A, row 360 of B and row 1482 of C.
+    assert out["seeded"].notna().groupby(pdf.symbol).sum().to_dict() == {"A": 696, "B": 40, "C": 18}
+    assert (out["seeded"].notna() == out["wilder"].notna()).all()
+
+
+def test_cut_seed_is_the_whole_seed(spark):
+    """The first n values of a seed lie in several chunks."""
+    pdf = make_bars({"A": 900, "B": 300})
+    pdf["close"] = pdf["close"].where(pdf.groupby("symbol").cumcount() % 30 == 7)
+    df = to_spark(spark, pdf)
+    whole, cut = (by_series(with_features(df, wilder("close", 4, True).named("y"), series=s)) for s in (DAILY, CUT))
+    assert whole["y"].notna().sum() > 900 and close_to(whole["y"], cut["y"])
 
 
 @pytest.mark.parametrize("kind", ["sum", "product", "last", "first"])

@@ -8,23 +8,25 @@ in every block, where P stays far from underflow. The value entering a block is
 Missing values follow the pandas rule (``adjust=False``): a NULL keeps the last average, and the
 next value is weighted by a against (1 - a)^(rows since the last value), renormalised.
 
-Long series are cut in chunks, each preceded by enough rows that what lies before them weighs
-less than 1e-17 under any pattern of missing values.
+Long series are cut. The steps of a block are composed to one step, blocks of blocks likewise, and
+the average that enters a block is joined back to its rows; so are the number of values so far and
+the place of the last one. Results are those of the uncut series for any run of missing values.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.window import Source, derived, so_far, source
-from tickloom.plans import Feature
+from tickloom.plans import Carried, Feature, Running
 
-NEGLIGIBLE = -math.log(1e-17)
 # Largest fall of P within a block, as a power of e, and the most rows in one.
 UNDERFLOW, BLOCK_ROWS = 550.0, 2560
+# What is left of an average after a very long gap: it vanishes in a double, but is not zero.
+LEAST_WEIGHT = 1e-30
 
 
 def ema(x: Source, span: int, min_periods: int = 0) -> Feature:
@@ -45,16 +47,6 @@ def wilder(x: Source, n: int, seeded: bool = False) -> Feature:
     )
 
 
-def memory(a: float) -> int:
-    """Rows after which the past is negligible, for the slowest-decaying pattern of gaps."""
-    keep = 1.0 - a
-    if keep <= 0:
-        return 1
-    most = math.ceil(4 / a)
-    decay = min(math.log1p(a / keep**k) / k for k in range(1, most + 1))
-    return math.ceil(NEGLIGIBLE / decay)
-
-
 def _average(label: str, x: Source, a: float, min_periods: int, seed_rows: int) -> Feature:
     c, needs = source(x)
     keep = max(1.0 - a, 1e-12)
@@ -70,21 +62,24 @@ def _average(label: str, x: Source, a: float, min_periods: int, seed_rows: int)
     start = Feature(f"_start_{c}", lambda w: F.avg(c).over(so_far(w)), needs)
 
     known, count = F.col(c).isNotNull(), F.col(seen.name)
-    aged = F.when(
-        F.col("_row") == F.col(last.name) + 1, F.lit(keep)
-    ).otherwise(F.pow(F.lit(keep), F.col("_row") - F.col(last.name)))
-    weight = aged / (aged + a)
-    # Nothing precedes the seed row, so its own A never matters.
-    step_a = derived(
-        f"_a_{label}", F.when(~known | (count <= seed_rows), 1.0).otherwise(weight), seen, last
-    )
-    step_b = derived(
-        f"_b_{label}",
-        F.when(~known | (count < seed_rows), 0.0)
-        .when(count == seed_rows, F.col(start.name) if seed_rows > 1 else F.col(c))
-        .otherwise((1.0 - weight) * F.col(c)),
-        seen, last, *needs, *((start,) if seed_rows > 1 else ()),
-    )
+
+    def steps(at: str, first_mean: Column) -> tuple[Column, Column]:
+        """A and B of a row numbered by ``at``."""
+        rows = F.col(at) - F.col(last.name)
+        aged = F.when(rows == 1, F.lit(keep)).otherwise(F.pow(F.lit(keep), rows))
+        weight = F.greatest(aged / (aged + a), F.lit(LEAST_WEIGHT))
+        # Nothing precedes the seed row, so its own A never matters.
+        return (
+            F.when(~known | (count <= seed_rows), 1.0).otherwise(weight),
+            F.when(~known | (count < seed_rows), 0.0)
+            .when(count == seed_rows, first_mean if seed_rows > 1 else F.col(c))
+            .otherwise((1.0 - weight) * F.col(c)),
+        )
+
+    means = (start,) if seed_rows > 1 else ()
+    row_a, row_b = steps(row.name, F.col(start.name))
+    step_a = derived(f"_a_{label}", row_a, seen, last)
+    step_b = derived(f"_b_{label}", row_b, seen, last, *needs, *means)
     size = max(1, min(BLOCK_ROWS, math.floor(UNDERFLOW / -math.log(keep))))
     fall = Feature(
         f"_p_{label}", lambda w: F.product(step_a.name).over(so_far(w)), (step_a,),
@@ -106,9 +101,21 @@ def _average(label: str, x: Source, a: float, min_periods: int, seed_rows: int)
     )
     entering = F.aggregate(ends.name, F.lit(0.0), lambda y, e: e["y"] + e["p"] * y)
     ready = F.col(seen.name) >= max(min_periods, seed_rows, 1)
+    total = f"_total_{c}"
+    carried = Carried(
+        needs,
+        (
+            Running(seen.name, "sum", known.cast("bigint")),
+            Running(last.name, "last", F.when(known, F.col("_pos")), before=True),
+            *((Running(total, "sum", F.col(c).cast("double")),) if seed_rows > 1 else ()),
+        ),
+        *steps("_pos", F.col(total) / count),
+        ready,
+        size,
+    )
     return Feature(
         label,
         lambda w: F.when(ready, F.col(here.name) + F.col(fall.name) * entering),
         (here, fall, ends, seen),
-        back=memory(a),
+        carried=carried,
     )

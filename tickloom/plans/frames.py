@@ -19,12 +19,30 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.plans.running import Running, position, with_running
+from tickloom.plans.running import Running, numbered, position, with_running, with_steps
+from tickloom.plans.scratch import stored
 from tickloom.plans.series import DAILY, Series
 
 BLOCK = "_block"
 
 
+@dataclass(frozen=True, eq=False)
+class Carried:
+    """A recurrence y → a·y + b for cut series, whose rows are numbered by ``_pos``.
+
+    ``needs`` are the features it reads, ``running`` the running values in ``a``, ``b`` and ``ready``;
+    y is NULL where it is not ``ready``. ``size``: the most rows over which the product of a stays
+    far from underflow.
+    """
+
+    needs: tuple[Feature, ...]
+    running: tuple[Running, ...]
+    a: Column
+    b: Column
+    ready: Column
+    size: int
+
+
 @dataclass(frozen=True, eq=False)
 class Feature:
     """A named column over a series window.
@@ -33,7 +51,8 @@ class Feature:
     ``block``: the feature needs the series divided in blocks of at most that many rows (column
     ``_block``); ``restarts`` makes its window start anew in each block.
     Built names spell out their parameters, so equal names mean equal definitions and shared
-    inputs are computed once. ``alias`` is the built name behind a short one.
+    inputs are computed once. ``alias`` is the built name behind a short one. ``carried`` is the
+    recurrence that takes the place of the expression on a cut series.
     """
 
     name: str
@@ -44,6 +63,7 @@ class Feature:
     block: int | None = None
     restarts: bool = False
     alias: str | None = None
+    carried: Carried | None = None
 
     def named(self, name: str) -> Feature:
         if name == self.name:
@@ -55,13 +75,15 @@ class Feature:
     def inputs(self) -> list[Feature]:
         return [n for n in self.needs if isinstance(n, Feature)]
 
-    @cached_property
-    def reach_back(self) -> int:
-        return self.back + max((n.reach_back for n in self.inputs), default=0)
+    @property
+    def sources(self) -> list[Feature]:
+        """The features it reads on a cut series."""
+        return list(self.carried.needs) if self.carried else self.inputs
 
     @cached_property
-    def reach_ahead(self) -> int:
-        return self.ahead + max((n.reach_ahead for n in self.inputs), default=0)
+    def level(self) -> int:
+        """Number of recurrences that follow one another up to this feature."""
+        return bool(self.carried) + max((n.level for n in self.sources), default=0)
 
     @cached_property
     def depth(self) -> int:
@@ -70,35 +92,89 @@ class Feature:
 
 def with_features(df: DataFrame, *features: Feature, series: Series = DAILY) -> DataFrame:
     """Append one column per feature."""
-    needed = _closure(features)
-    running = list({n.name: n for f in needed for n in f.needs if isinstance(n, Running)}.values())
+    out = _whole(df, features, series) if series.cut_rows(df) is None else _cut(df, features, series)
+    names = [f.name for f in features]
+    return out.select(*[c for c in df.columns if c not in names], *names)
+
+
+def _whole(df: DataFrame, features: tuple[Feature, ...], series: Series) -> DataFrame:
+    """Every series in one window group."""
+    needed = _closure(features, lambda f: f.inputs)
     blocks = [f.block for f in needed if f.block]
-    home = None
-    if series.cut_rows(df) is None:
-        out, keys, order = df, series.keys, series.order
-    else:
-        back = max((f.reach_back for f in features), default=0)
-        ahead = max((f.reach_ahead for f in features), default=0)
-        out, home = neighbourhood(df, running, back, ahead, series)
-        keys, order, running = [*series.keys, "_chunk"], "_pos", []
-
-    window = restarted = Window.partitionBy(*keys).orderBy(order)
+    out, window = df, Window.partitionBy(*series.keys).orderBy(series.order)
+    restarted = window
     if blocks:
         # Ordered by (block, order) all windows need the same sort: keys, block, order.
-        out = out.withColumn(BLOCK, _block_number(out, order, window, min(blocks)))
-        window = Window.partitionBy(*keys).orderBy(BLOCK, order)
-        restarted = Window.partitionBy(*keys, BLOCK).orderBy(order)
-    if running:
-        out = out.withColumns({r.name: r.over(window) for r in running})
+        out = out.withColumn(BLOCK, _block_number(out, series.order, window, min(blocks)))
+        window = Window.partitionBy(*series.keys).orderBy(BLOCK, series.order)
+        restarted = Window.partitionBy(*series.keys, BLOCK).orderBy(series.order)
+    return _evaluated(
+        out.withColumns({r.name: r.over(window) for r in _running(needed)}), needed, window, restarted
+    )
+
+
+def _cut(df: DataFrame, features: tuple[Feature, ...], series: Series) -> DataFrame:
+    """Long series: recurrences level by level, then what is left."""
+    needed = _closure(features, lambda f: f.sources)
+    plain = [f for f in needed if not f.carried]
+    chunk, keys = series.cut_rows(df), series.keys
+    rows, known = with_running(df, [*_running(plain), position()], series), set()
+    for level in range(1, max((f.level for f in needed), default=0) + 1):
+        averages = [f for f in needed if f.carried and f.level == level]
+        # Written once: the scans below read these rows several times over.
+        rows = stored(_near(rows, [n for f in averages for n in f.sources], known, keys, chunk))
+        size = min(chunk, *[f.carried.size for f in averages])
+        running = {r.name: r for f in averages for r in f.carried.running}
+        steps = {f.name: (f.carried.a, f.carried.b) for f in averages}
+        before = rows.columns
+        rows = with_running(rows, list(running.values()), numbered(keys, size))
+        rows = with_steps(rows, steps, keys, size).select(
+            *before, *[F.when(f.carried.ready, F.col(f.name)).alias(f.name) for f in averages]
+        )
+        known.update(steps)
+    return _near(rows, features, known, keys, chunk)
+
+
+def _near(
+    rows: DataFrame, features: Iterable[Feature], known: set[str], keys: list[str], chunk: int
+) -> DataFrame:
+    """Append features of numbered rows that read a bounded number of neighbours.
+
+    ``known``: features that are columns already; those added here join them.
+    """
+    wanted = {f.name: f for f in features if f.name not in known}
+    if not wanted:
+        return rows
+    needed = _closure(wanted.values(), lambda f: f.sources, known)
+    back = max(_reach(f, known, "back") for f in wanted.values())
+    ahead = max(_reach(f, known, "ahead") for f in wanted.values())
+    spread, home = _spread(rows, back, ahead, chunk)
+    window = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
+    known.update(wanted)
+    return _evaluated(spread, needed, window, window).filter(home).select(
+        *[c for c in rows.columns if c not in wanted], *wanted
+    )
+
+
+def _evaluated(
+    df: DataFrame, needed: list[Feature], window: WindowSpec, restarted: WindowSpec
+) -> DataFrame:
+    """Append all features, inputs before what reads them."""
     for depth in range(max((f.depth for f in needed), default=-1) + 1):
-        out = out.withColumns({
-            f.name: f.expr(restarted if f.restarts else window)
-            for f in needed if f.depth == depth
-        })
-    if home is not None:
-        out = out.filter(home)
-    names = [f.name for f in features]
-    return out.select(*[c for c in df.columns if c not in names], *names)
+        here = [f for f in needed if f.depth == depth]
+        df = df.withColumns({f.name: f.expr(restarted if f.restarts else window) for f in here})
+    return df
+
+
+def _running(needed: list[Feature]) -> list[Running]:
+    return list({n.name: n for f in needed for n in f.needs if isinstance(n, Running)}.values())
+
+
+def _reach(f: Feature, known: set[str], side: str) -> int:
+    """Rows before ("back") or after ("ahead") a row that the feature and its inputs read."""
+    if f.name in known:
+        return 0
+    return getattr(f, side) + max((_reach(n, known, side) for n in f.sources), default=0)
 
 
 def neighbourhood(
@@ -109,8 +185,10 @@ def neighbourhood(
     Rows near an edge appear in every chunk that reads them; the returned predicate keeps each
     row once.
     """
-    chunk = series.cut_rows(df)
-    rows = with_running(df, [*running, position()], series)
+    return _spread(with_running(df, [*running, position()], series), back, ahead, series.cut_rows(df))
+
+
+def _spread(rows: DataFrame, back: int, ahead: int, chunk: int) -> tuple[DataFrame, Column]:
     first = F.greatest(F.lit(0), F.floor((F.col("_pos") - 1 - ahead) / chunk))
     last = F.floor((F.col("_pos") - 1 + back) / chunk)
     spread = rows.withColumn("_chunk", F.explode(F.sequence(first, last)))
@@ -118,22 +196,27 @@ def neighbourhood(
 
 
 def _block_number(df: DataFrame, order: str, window: WindowSpec, size: int) -> Column:
-    """Blocks of at most ``size`` rows: of positions or days, else of counted rows."""
-    if order == "_pos":
-        return F.floor(F.col("_pos") / size)
+    """Blocks of at most ``size`` rows: of days, else of counted rows."""
     if isinstance(df.schema[order].dataType, T.DateType):
         return F.floor(F.unix_date(order) / size)
     return F.floor(F.row_number().over(window) / size)
 
 
-def _closure(features: Iterable[Feature]) -> list[Feature]:
+def _closure(
+    features: Iterable[Feature],
+    reads: Callable[[Feature], list[Feature]],
+    known: Iterable[str] = (),
+) -> list[Feature]:
+    """The features and all they read, but for the known ones."""
     found: dict[str, Feature] = {}
     todo = list(features)
     while todo:
         f = todo.pop()
+        if f.name in known:
+            continue
         if f.name not in found:
             found[f.name] = f
-            todo.extend(f.inputs)
+            todo.extend(reads(f))
         elif found[f.name].alias != f.alias:
             raise ValueError(f"two different features are called {f.name!r}; use .named()")
     return list(found.values())

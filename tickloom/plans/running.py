@@ -3,6 +3,8 @@
 Long series are cut in time buckets. Each bucket is scanned on its own; the buckets' totals,
 one row each, are scanned in the same way to give the value entering each bucket; a join on
 (key, bucket) adds it. The large side of that join is already partitioned that way.
+
+Recurrences y → a·y + b go the same way: their steps compose to one step per block of rows.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ from pyspark.sql import functions as F
 
 from tickloom.plans.series import DAILY, Series, bucket_start
 
+# Blocks that are scanned together, at each of the levels above the rows.
+FAN, LEVELS = 1024, 3
+
 
 @dataclass(frozen=True, eq=False)
 class Running:
@@ -57,6 +62,32 @@ class Running:
         return F.product(value) if self.kind == "product" else F.sum(value)
 
 
+class Steps(Running):
+    """Steps y → p·y + s composed in their order, as structs (p, s)."""
+
+    def total(self, value: Column, order: Column) -> Column:
+        each = F.collect_list(F.struct(order.alias("at"), value.alias("step")))
+        return _composed(F.transform(F.array_sort(each), lambda e: e["step"]))
+
+    def earlier(self, total: Column, window: WindowSpec) -> Column:
+        return _composed(F.collect_list(total).over(window.rowsBetween(Window.unboundedPreceding, -1)))
+
+    def joined(self, entering: Column, local: Column) -> Column:
+        return _then(entering, local)
+
+
+def _step(p: Column, s: Column) -> Column:
+    return F.struct(p.alias("p"), s.alias("s"))
+
+
+def _then(first: Column, second: Column) -> Column:
+    return _step(first["p"] * second["p"], second["s"] + second["p"] * first["s"])
+
+
+def _composed(steps: Column) -> Column:
+    return F.aggregate(steps, _step(F.lit(1.0), F.lit(0.0)), _then)
+
+
 def position(name: str = "_pos") -> Running:
     """Running row count; minus one it is the dense 0-based position."""
     return Running(name, "sum", F.lit(1).cast("bigint"))
@@ -83,6 +114,40 @@ def with_running(df: DataFrame, items: list[Running], series: Series = DAILY) ->
     )
 
 
+def numbered(keys: list[str], size: int) -> Series:
+    """Series of rows numbered by ``_pos``, in nested buckets of ``size`` rows and more."""
+    widths = tuple(size * FAN**level for level in range(LEVELS))
+    return Series(tuple(keys), "_pos", chunk_rows=size, bucket=widths)
+
+
+def with_steps(
+    rows: DataFrame, steps: dict[str, tuple[Column, Column]], keys: list[str], size: int
+) -> DataFrame:
+    """Append y of each recurrence y → a·y + b over ``_pos``, started at zero.
+
+    ``steps``: name → (a, b). The product of a must stay far from underflow within ``size`` rows.
+    """
+    series = numbered(keys, size)
+    _, *wider = series.widths(rows)
+    cells = rows.withColumn("_bucket", bucket_start(F.col("_pos"), size))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_pos").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    cells = cells.withColumns({f"_fall_{n}": F.product(a).over(inside) for n, (a, _) in steps.items()})
+    cells = cells.withColumns({
+        f"_here_{n}": F.sum(b / F.col(f"_fall_{n}")).over(inside) * F.col(f"_fall_{n}")
+        for n, (_, b) in steps.items()
+    })
+    totals = cells.groupBy(*keys, "_bucket").agg(*[
+        _step(F.max_by(f"_fall_{n}", "_pos"), F.max_by(f"_here_{n}", "_pos")).alias(n) for n in steps
+    ])
+    before = _entering(totals, [Steps(n, "steps", F.col(n)) for n in steps], keys, wider)
+    return cells.join(before, [*keys, "_bucket"], "left").select(
+        *rows.columns,
+        *[(F.col(f"_here_{n}") + F.col(f"_fall_{n}") * F.col(f"_in_{n}")["s"]).alias(n) for n in steps],
+    )
+
+
 def _entering(
     totals: DataFrame, items: list[Running], keys: list[str], widths: list[int]
 ) -> DataFrame:
