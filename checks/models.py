@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import sqltext as t
@@ -157,11 +160,16 @@ clustering("summary_cluster", lambda df, k: learn.summary_cluster(df, k, micro=5
 @check("silhouette")
 def q_silhouette(spark, folder):
     data = embedded(spark, folder)
+    methods = {
+        "kmeans": learn.kmeans,
+        "gmm": learn.gmm,
+        "hierarchical": learn.hierarchical,
+        "summary_cluster": lambda df, k: learn.summary_cluster(df, k, micro=50),
+    }
     scores = [
-        learn.silhouette(method(data, 10)).withColumn("method", F.lit(name))
-        for name, method in (("kmeans", learn.kmeans), ("hierarchical", learn.hierarchical))
+        learn.silhouette(method(data, 10)).withColumn("method", F.lit(name)) for name, method in methods.items()
     ]
-    return scores[0].unionByName(scores[1])
+    return reduce(DataFrame.unionByName, scores)
 
 
 @check("sentiment_classify")

@@ -98,8 +98,16 @@ def gmm(df: DataFrame, k: int = 10, features: str = "features", out: str = "clus
 def hierarchical(
     df: DataFrame, k: int = 10, features: str = "features", out: str = "cluster"
 ) -> DataFrame:
-    """Top-down hierarchical clustering."""
-    return BisectingKMeans(k=k, seed=SEED, featuresCol=features, predictionCol=out).fit(df).transform(df)
+    """Top-down hierarchical clustering.
+
+    A cluster is split by moving its centre by a share of the centre's length, so centred data would
+    never be split. A constant component changes no distance and keeps that length from zero.
+    """
+    lifted = VectorAssembler(inputCols=[features, "_one"], outputCol="_lifted", handleInvalid="keep").transform(
+        df.withColumn("_one", F.lit(1.0))
+    )
+    model = BisectingKMeans(k=k, seed=SEED, featuresCol="_lifted", predictionCol=out).fit(lifted)
+    return model.transform(lifted).drop("_one", "_lifted")
 
 
 def summary_cluster(
