@@ -117,3 +117,12 @@ def test_score_batches(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 1.0)
     out = learn.score_batches(df, lambda: lambda b: b["x"] * 2, ["x"]).collect()
     assert all(r.score == 2 * r.x for r in out)
+
+
+def test_hierarchical_splits_centred_data(spark):
+    """The centre of all points is zero."""
+    points = [([x + dx, y + dx],) for x in (-5.0, 5.0) for y in (-5.0, 5.0) for dx in (-0.1, 0.1)]
+    df = spark.createDataFrame(points, "a array<double>").select(array_to_vector("a").alias("features"))
+    out = learn.hierarchical(df, 4)
+    assert out.columns == ["features", "cluster"]
+    assert out.select("cluster").distinct().count() == 4

@@ -103,7 +103,7 @@ def hierarchical(
     A cluster is split by moving its centre by a share of the centre's length, so centred data would
     never be split. A constant component changes no distance and keeps that length from zero.
     """
-    lifted = VectorAssembler(inputCols=[features, "_one"], outputCol="_lifted", handleInvalid="keep").transform(
+    lifted = VectorAssembler(inputCols=[features, "_one"], outputCol="_lifted").transform(
         df.withColumn("_one", F.lit(1.0))
     )
     model = BisectingKMeans(k=k, seed=SEED, featuresCol="_lifted", predictionCol=out).fit(lifted)
