@@ -165,6 +165,15 @@ def parabolic(spark, folder):
     return rounded(psar(bars(spark, folder)).select(*ID, "psar"), "psar")
 
 
+# By position every series is cut, so chunks start warm and hand over to each other.
+@check("psar_by_position", BARS, NUMBERED, t.PSAR, recursive=True, sql=f"""
+SELECT n.symbol, n.t, {cut("p.sar")} AS psar FROM numbered n JOIN psar p USING (symbol, t)""")
+def parabolic_by_position(spark, folder):
+    numbered = rows.row_index(bars(spark, folder), "t")
+    out = psar(numbered, series=Series("symbol", "t", chunk_rows=100))
+    return rounded(out.select("symbol", "t", "psar"), "psar")
+
+
 HAND = {
     "rsi": t.rsi("up14", "(-down14)"), "macd_signal": "sig", "avg_volume": "volume50",
     "bb_middle": "mean20", "stochastic_k": "k",
@@ -262,6 +271,34 @@ def tick_ema_gaps(spark, folder):
     return rounded(out.select("user_id", "ts", "ema"), "ema")
 
 
+# Steps of three hours from every tick up to the user's next one.
+@check("tick_forward_fill", TICKS, sql="""
+SELECT user_id, unnest(generate_series(ts, coalesce(after, ts), INTERVAL 3 HOUR)) AS ts, value
+FROM (SELECT user_id, ts, value,
+             lead(ts) OVER (PARTITION BY user_id ORDER BY ts) - INTERVAL 1 MICROSECOND AS after FROM ticks)""")
+def tick_forward_fill(spark, folder):
+    return rows.forward_fill(ticks(spark, folder).select("user_id", "ts", "value"), ["value"], TICK, 3 * 3600)
+
+
+@check("tick_wilder_gaps", TICKS, """
+n AS (SELECT user_id, ts, CASE WHEN day(ts) % 5 = 1 THEN value END AS x,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts) AS t FROM ticks)""", """
+e AS (SELECT user_id, ts, t, x AS y, 1.0::DOUBLE AS w, CASE WHEN x IS NULL THEN 0 ELSE 1 END AS seen FROM n WHERE t = 1
+      UNION ALL
+      SELECT n.user_id, n.ts, n.t,
+             CASE WHEN n.x IS NULL THEN e.y WHEN e.y IS NULL THEN n.x
+                  ELSE (e.w * 13 / 14 * e.y + 1.0 / 14 * n.x) / (e.w * 13 / 14 + 1.0 / 14) END,
+             CASE WHEN n.x IS NULL THEN e.w * 13 / 14 ELSE 1 END,
+             e.seen + CASE WHEN n.x IS NULL THEN 0 ELSE 1 END
+      FROM e JOIN n ON n.user_id = e.user_id AND n.t = e.t + 1)""", recursive=True,
+       sql=f"SELECT user_id, ts, CASE WHEN seen >= 14 THEN {cut('y')} END AS mean14 FROM e")
+def tick_wilder_gaps(spark, folder):
+    gappy = ticks(spark, folder).withColumn("value", F.expr("CASE WHEN day(ts) % 5 = 1 THEN value END"))
+    series = Series("user_id", "ts", chunk_rows=10)
+    out = with_features(gappy, rec.wilder("value", 14).named("mean14"), series=series)
+    return rounded(out.select("user_id", "ts", "mean14"), "mean14")
+
+
 @check("tick_cum_sum", TICKS, sql=f"""
 SELECT user_id, ts, {cut("sum(value) OVER u")} AS total, row_number() OVER u - 1 AS time_idx
 FROM ticks WINDOW u AS (PARTITION BY user_id ORDER BY ts)""")

@@ -46,6 +46,20 @@ def q_asof_keyed(spark, folder):
     return asof.asof_join(left, right, on="ts", by=["user_id"])
 
 
+# A user has many views a day: of a day's views the largest value counts.
+@check("asof_join_ties", """
+views AS (SELECT user_id, CAST(ts AS DATE) AS day, max(value) AS top_view FROM events
+          WHERE event_type = 'view' GROUP BY ALL)""", sql="""
+SELECT l.event_id, l.user_id, l.day, r.top_view
+FROM (SELECT event_id, user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type <> 'view') l
+ASOF LEFT JOIN views r ON l.user_id = r.user_id AND l.day >= r.day""")
+def q_asof_ties(spark, folder):
+    events = table(spark, folder, "events").withColumn("day", F.col("ts").cast("date"))
+    left = events.filter("event_type <> 'view'").select("event_id", "user_id", "day")
+    right = events.filter("event_type = 'view'").select("user_id", "day", F.col("value").alias("top_view"))
+    return asof.asof_join(left, right, on="day", by=["user_id"])
+
+
 @check("asof_join_unkeyed", sql="""
 SELECT l.event_id, l.ts, r.value AS last_signup
 FROM events l ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup') r ON l.ts >= r.ts""")
@@ -79,6 +93,17 @@ def q_enrich(spark, folder):
     return asof.enrich_asof(bars(spark, folder).select(*ID, "close"), sides)
 
 
+@check("enrich_asof_clash", BARS, INDEX_DAILY, sql="""
+SELECT b.symbol, b.date, b.close, q.close AS close_qqq, d.close AS close_dia
+FROM bars b ASOF LEFT JOIN (SELECT * FROM index_daily WHERE series = '1-URGENT') q ON b.date >= q.date
+ASOF LEFT JOIN (SELECT * FROM index_daily WHERE series = '2-HIGH') d ON b.date >= d.date""")
+def q_enrich_clash(spark, folder):
+    """Sides whose columns share the names of the bars."""
+    daily = stored(index_daily(spark, folder))
+    sides = [daily.filter(F.col("series") == INDEXES[c]).select("date", "close") for c in ("qqq", "dia")]
+    return asof.enrich_asof(bars(spark, folder).select(*ID, "close"), sides, suffixes=["_qqq", "_dia"])
+
+
 MONTHLY = """
 monthly AS (
   SELECT symbol, CAST(date_trunc('month', date) AS DATE) AS month,

@@ -6,13 +6,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import sqltext as t
 from checks.registry import check, cut, rounded
-from checks.views import BARS, bars, labelled_docs, vectors
+from checks.views import BARS, bars, labelled_docs, table, vectors
 from tickloom.operators import aggregate as agg
 from tickloom.operators import features, forecast, learn, rows, scaling
 from tickloom.plans.scratch import stored
@@ -172,12 +172,49 @@ def q_silhouette(spark, folder):
     return reduce(DataFrame.unionByName, scores)
 
 
+@check("silhouette_labels", """
+x AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, list_sum(list_transform(embedding::DOUBLE[], lambda e: e * e)) AS sq
+      FROM embeddings)""", """
+u AS (SELECT label, generate_subscripts(v, 1) AS i, unnest(v) AS e FROM x)""", """
+m AS (SELECT label, list(e ORDER BY i) AS m FROM (SELECT label, i, avg(e) AS e FROM u GROUP BY ALL) GROUP BY label)""", """
+c AS (SELECT label, m, n, q FROM m JOIN (SELECT label, count(*) AS n, avg(sq) AS q FROM x GROUP BY label) USING (label))""", """
+d AS (SELECT vec_id, x.label AS own, c.label AS other, n, greatest(sq + q - 2 * list_dot_product(v, m), 0) AS d
+      FROM x, c)""", """
+s AS (SELECT vec_id, min(CASE WHEN own = other AND n > 1 THEN d * n / (n - 1) END) AS a,
+             min(CASE WHEN own <> other THEN d END) AS b FROM d GROUP BY vec_id)""", sql=f"""
+SELECT {cut("avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END)")} AS silhouette
+FROM s""")
+def q_silhouette_labels(spark, folder):
+    """The score of the given labels."""
+    data = vectors(spark, folder).select("label", array_to_vector("v").alias("features"))
+    return rounded(learn.silhouette(data, cluster="label"), "silhouette")
+
+
+@check("pca_variance", sql="""
+SELECT i, j, CASE WHEN i = j THEN 1.0 ELSE 0.0 END AS correlation, 64.0::DOUBLE AS total
+FROM (SELECT unnest(generate_series(0, 9)) AS i), (SELECT unnest(generate_series(0, 9)) AS j) WHERE i <= j""")
+def q_pca_variance(spark, folder):
+    """Variances of all components add up to the number of columns; the ten of the query are uncorrelated."""
+    names = [f"v{i}" for i in range(64)]
+    wide = vectors(spark, folder).select("vec_id", *[F.col("v")[i].alias(c) for i, c in enumerate(names)])
+    parts = learn.pca(wide, names, k=64).select("vec_id", vector_to_array("components").alias("p"))
+    one = parts.select([F.col("p")[i].alias(f"p{i}") for i in range(64)])
+    total = sum((F.var_pop(f"p{i}") for i in range(1, 64)), F.var_pop("p0"))
+    pairs = [F.struct(F.lit(i).cast("bigint").alias("i"), F.lit(j).cast("bigint").alias("j"),
+                      F.corr(f"p{i}", f"p{j}").alias("correlation"))
+             for i in range(10) for j in range(i, 10)]
+    table_ = one.agg(total.alias("total"), F.array(*pairs).alias("pairs"))
+    out = table_.select(F.inline("pairs"), F.round("total", 6).alias("total"))
+    return out.withColumn("correlation", F.round("correlation", 6) + 0.0)
+
+
 @check("sentiment_classify")
 def q_sentiment(spark, folder):
+    """Every document, by a model of four fifths of the labelled ones."""
     docs = stored(labelled_docs(spark, folder))
-    fit, test = scaling.split_random(docs, 0.2, ["doc_id"])
+    fit, _ = scaling.split_random(docs, 0.2, ["doc_id"])
     model = learn.fit_sentiment(fit)
-    return learn.sentiment_classify(model, test).select("doc_id", "sentiment")
+    return learn.sentiment_classify(model, table(spark, folder, "documents")).select("doc_id", "sentiment")
 
 
 def load_linear():
@@ -214,6 +251,35 @@ def q_ar(spark, folder):
     return rounded(out, "forecast", "lower", "upper")
 
 
+@check("ar_forecast_second", *t.STEPS, """
+z AS (SELECT *, close - lag(close) OVER (PARTITION BY symbol ORDER BY t) AS z FROM numbered)""", """
+lagged AS (SELECT *, lag(z) OVER (PARTITION BY symbol ORDER BY t) AS z1,
+                  lag(z, 2) OVER (PARTITION BY symbol ORDER BY t) AS z2 FROM z)""", """
+sums AS (
+  SELECT symbol, count(*) AS n, avg(z) AS m, avg(z1) AS m1, avg(z2) AS m2, var_pop(z) AS v, var_pop(z1) AS v11,
+         var_pop(z2) AS v22, covar_pop(z1, z2) AS v12, covar_pop(z, z1) AS c1, covar_pop(z, z2) AS c2
+  FROM lagged WHERE z2 IS NOT NULL GROUP BY symbol)""", """
+solved AS (SELECT *, (c1 * v22 - c2 * v12) / (v11 * v22 - v12 * v12) AS a,
+                  (c2 * v11 - c1 * v12) / (v11 * v22 - v12 * v12) AS b FROM sums)""", """
+ends AS (SELECT symbol, arg_max(z, t) AS z1, arg_max(z1, t) AS z2, arg_max(close, t) AS y FROM lagged GROUP BY symbol)""", """
+path AS (
+  SELECT symbol, 0 AS step, z1, z2, y, 0.0::DOUBLE AS p1, 0.0::DOUBLE AS p2, 0.0::DOUBLE AS p3, 0.0::DOUBLE AS total,
+         a, b, m - a * m1 - b * m2 AS c, sqrt(n * (v - a * c1 - b * c2) / (n - 3)) AS s
+  FROM solved JOIN ends USING (symbol)
+  UNION ALL
+  SELECT symbol, step + 1, z, z1, y + z, p, p1, p2, total + p * p, a, b, c, s
+  FROM (SELECT *, c + a * z1 + b * z2 AS z,
+               CASE WHEN step = 0 THEN 1 ELSE (1 + a) * p1 + (b - a) * p2 - b * p3 END AS p
+        FROM path WHERE step < 10))""", recursive=True, sql=f"""
+SELECT symbol, step, {cut("y / 1000")} AS forecast, {cut("(y - 1.959963984540054 * s * sqrt(total)) / 1000")} AS lower,
+       {cut("(y + 1.959963984540054 * s * sqrt(total)) / 1000")} AS upper FROM path WHERE step > 0""")
+def q_ar_second(spark, folder):
+    """Two lags, in thousands: the SQL solves them by Cramer's rule, which agrees to about nine digits."""
+    out = forecast.ar_forecast(bars(spark, folder), p=2, d=1, h=10)
+    out = out.withColumns({c: F.col(c) / 1000 for c in ("forecast", "lower", "upper")})
+    return rounded(out, "forecast", "lower", "upper")
+
+
 @check("ar_forecast_long")
 def q_ar_long(spark, folder):
     return forecast.ar_forecast(bars(spark, folder), p=8, d=1, h=120)

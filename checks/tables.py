@@ -62,11 +62,11 @@ BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 
 @check("price_history", BARS, sql=f"""
-SELECT {ALL} FROM bars WHERE date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+SELECT {ALL} FROM bars WHERE date BETWEEN DATE '1995-01-01' AND DATE '1996-06-30'
 UNION ALL SELECT 'Unlisted', NULL, NULL, NULL, NULL, NULL, NULL""")
 def q_price_history(spark, folder):
     return price_history(
-        bars(spark, folder), [*BRANDS, "Unlisted"], date(1995, 1, 1), date(2001, 12, 31)
+        bars(spark, folder), [*BRANDS, "Unlisted"], date(1995, 1, 1), date(1996, 6, 30)
     )
 
 

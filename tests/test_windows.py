@@ -122,15 +122,13 @@ def test_running_values_carry_over_buckets(spark, kind):
         assert close_to(whole["r"], cut["r"], 1e-8), bucket
 
 
-def test_full_buckets_are_divided(spark, monkeypatch):
-    """One key with a third of all rows in one day: wide buckets alone would be one group."""
+def test_full_buckets_are_divided(spark):
+    """One key with a third of all rows in one day: narrow buckets lie inside wide ones."""
     rows = [("HOT", i, 1.0) for i in range(300)] + [(f"K{i % 50}", 10 * i, 1.0) for i in range(600)]
     df = spark.createDataFrame(rows, "symbol string, i bigint, x double").withColumn(
         "ts", F.timestamp_seconds(1_700_000_000 + F.col("i"))
     )
     series = Series("symbol", "ts")
-    assert series.widths(df) == [1 << 16]
-    monkeypatch.setattr("tickloom.plans.series.GROUP_ROWS", 100)
     assert series.widths(df) == [1, 1 << 16]
     out = with_running(df, [Running("n", "sum", F.col("x"))], series)
     assert sorted(r.n for r in out.filter("symbol = 'HOT'").collect()) == [float(i) for i in range(1, 301)]

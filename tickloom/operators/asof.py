@@ -7,6 +7,9 @@ Two exact plans, chosen from the schema:
 * points: otherwise the distinct left (key, time) points and the right rows are scanned
   together and the last right row is carried forward, in time buckets where a series is long.
   The answers are joined back by equality, so many left rows at one time cost one lookup.
+
+In both plans right rows of equal key and time are first reduced to the largest, compared column by
+column in the right side's order (NULL is least), so ties have one answer and a key has one row a day.
 """
 
 from __future__ import annotations
@@ -98,7 +101,9 @@ def _asof_points(
     keys, at = [renamed[b] for b in by], renamed[on]
     ids = [F.col(c).alias(n) for c, n in renamed.items()]
     asked = left.select(*ids).distinct().withColumn("_match", F.lit(None))
-    given = right.select(*ids, F.struct(*payload).alias("_match"))
+    given = right.select(*ids, F.struct(*payload).alias("_match")).groupBy(*keys, at).agg(
+        F.max("_match").alias("_match")
+    )
     both = given.select(*keys, at, "_match", F.lit(0).alias("_ask")).unionByName(
         asked.select(*keys, at, F.col("_match").cast(given.schema["_match"].dataType), F.lit(1).alias("_ask"))
     )

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,8 @@ def future_frame(
     series: Series = DAILY,
 ) -> DataFrame:
     """The rows followed by a copy of the last h, dated and numbered onwards day by day."""
+    if series.cut_rows(df) is None:
+        return _future_in_place(df, h, index, month, series)
     tail = row_index(slice_rows(df, -h, None, series), "_step", series)
     ends = df.groupBy(*series.keys).agg(
         F.max(index).alias("_last_index"), F.max(series.order).alias("_last_day")
@@ -70,6 +72,28 @@ def future_frame(
     return df.unionByName(scaffold.select(*df.columns))
 
 
+def _future_in_place(df: DataFrame, h: int, index: str, month: str | None, series: Series) -> DataFrame:
+    """The same for series bounded by the calendar: one exchange, then the last h rows are doubled."""
+    whole = Window.partitionBy(*series.keys)
+    seen = df.withColumns({
+        "_at": F.row_number().over(whole.orderBy(series.order)),
+        "_len": F.count(F.lit(1)).over(whole),
+        "_last_index": F.max(index).over(whole),
+        "_last_day": F.max(series.order).over(whole),
+    })
+    # The place of a row's copy among the new rows, from 1; none for rows before the last h.
+    step = F.col("_at") - F.greatest(F.col("_len") - h, F.lit(0))
+    copies = F.when(step > 0, F.array(F.lit(0), step.cast("int"))).otherwise(F.array(F.lit(0)))
+    doubled = seen.withColumn("_copy", F.explode(copies))
+    new = F.col("_copy") > 0
+    day = F.when(new, F.date_add("_last_day", F.col("_copy"))).otherwise(F.col(series.order))
+    number = F.when(new, F.col("_last_index") + F.col("_copy")).otherwise(F.col(index))
+    changed = {series.order: day, index: number.cast(df.schema[index].dataType)}
+    if month in df.columns:
+        changed[month] = F.when(new, F.month(day)).otherwise(F.col(month)).cast(df.schema[month].dataType)
+    return doubled.withColumns(changed).select(*df.columns)
+
+
 def ar_forecast(
     df: DataFrame, value: str = "close", p: int = 1, d: int = 1, h: int = 10,
     series: Series = DAILY,
@@ -77,7 +101,8 @@ def ar_forecast(
     """h-step forecasts with 95% bounds per series from an AR(p) on d-th differences.
 
     The least-squares fit needs only sums of products of lags, so it is one partial-and-final
-    aggregation whatever the length of a series. The small systems (one row per series) are
+    aggregation whatever the length of a series. Values are taken from the series' mean, so that a
+    distant level does not swallow the digits of the sums. The small systems (one row per series) are
     then solved in Arrow batches.
     """
     z: str | Feature = value
@@ -91,15 +116,22 @@ def ar_forecast(
     names = [x if isinstance(x, str) else x.name for x in levels]
     target = names[-1]
 
-    terms: list[Column] = [F.lit(1.0), *[F.col(x.name) for x in lags], F.col(target)]
+    if series.cut_rows(df) is None:
+        rows = rows.withColumn("_mean", F.avg(target).over(Window.partitionBy(*series.keys)))
+    else:
+        means = rows.groupBy(*series.keys).agg(F.avg(target).alias("_mean"))
+        rows = rows.join(means, series.keys, "left")
+    mean = F.col("_mean")
+    terms: list[Column] = [F.lit(1.0), *[F.col(x.name) - mean for x in lags], F.col(target) - mean]
     whole = F.col(lags[-1].name).isNotNull() & F.col(target).isNotNull()
     products = [
         F.sum(F.when(whole, terms[i] * terms[j])).alias(f"m{i}_{j}")
         for i in range(p + 2) for j in range(i, p + 2)
     ]
-    recent = F.array(F.col(target), *[F.col(x.name) for x in lags[:-1]])
+    recent = F.array(F.col(target) - mean, *[F.col(x.name) - mean for x in lags[:-1]])
     fitted = rows.groupBy(*series.keys).agg(
         *products,
+        F.max("_mean").alias("_mean"),
         F.max_by(recent, F.col(series.order)).alias("_recent"),
         F.max_by(F.array(*names[:-1]), F.col(series.order)).alias("_levels")
         if d else F.first(F.array().cast("array<double>")).alias("_levels"),
@@ -145,6 +177,7 @@ def _forecast_row(row: dict, p: int, d: int, h: int) -> tuple[np.ndarray, np.nda
     for k in range(h):
         steps[k] = beta[0] + float(np.dot(beta[1:], past))
         past = [steps[k], *past[:-1]]
+    steps = steps + float(row["_mean"])
     for level in reversed([float(x) for x in row["_levels"]]):
         steps = level + np.cumsum(steps)
 

@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, HashingTF, IDF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -129,12 +128,27 @@ def summary_cluster(
 
 def silhouette(df: DataFrame, features: str = "features", cluster: str = "cluster") -> DataFrame:
     """Mean silhouette under squared Euclidean distance, in linear time; NULL for one cluster."""
-    spark = df.sparkSession
-    several = df.select(cluster).distinct().limit(2).count() > 1
-    score = ClusteringEvaluator(
-        featuresCol=features, predictionCol=cluster, metricName="silhouette"
-    ).evaluate(df) if several else None
-    return spark.range(1).select(F.lit(score).cast("double").alias("silhouette"))
+    x = vector_to_array(features)
+    square = F.aggregate(x, F.lit(0.0), lambda t, v: t + v * v)
+    points = df.select(F.col(cluster).alias("_c"), x.alias("_x"), square.alias("_sq"), F.col(features).alias("_v"))
+    # One row per cluster: its size, centre and mean square. They give a point's mean distance to all members.
+    each = points.groupBy("_c").agg(
+        F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("_v")).alias("m"), F.avg("_sq").alias("q")
+    ).select(F.struct(F.col("_c").alias("c"), "n", vector_to_array("m").alias("m"), "q").alias("s"))
+    scored = points.withColumn("_all", each.agg(F.collect_list("s")).scalar())
+
+    def apart(s):
+        dot = F.aggregate(F.zip_with("_x", s["m"], lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+        return F.greatest(F.col("_sq") + s["q"] - 2 * dot, F.lit(0.0))
+
+    own = F.filter("_all", lambda s: s["c"] == F.col("_c"))[0]
+    inner = F.when(own["n"] > 1, apart(own) * own["n"] / (own["n"] - 1))
+    outer = F.array_min(F.transform(F.filter("_all", lambda s: s["c"] != F.col("_c")), apart))
+    near = scored.select(inner.alias("_in"), outer.alias("_out"))
+    # A point alone in its cluster scores 0; without a second cluster there is no score.
+    score = F.when(F.col("_out").isNotNull(), F.coalesce(
+        F.try_divide(F.col("_out") - F.col("_in"), F.greatest("_out", "_in")), F.lit(0.0)))
+    return near.agg(F.avg(score).alias("silhouette"))
 
 
 def fit_sentiment(train: DataFrame, text: str = "text", label: str = "label") -> PipelineModel:

@@ -115,7 +115,8 @@ def _relay(df: DataFrame, prices: tuple[str, str, str], series: Series, name: st
         return kept[schema.names]
 
     unknown = F.lit(None).cast(states)
-    done = cells.withColumn("_start", unknown).groupBy(*cell).applyInPandas(one, schema).checkpoint()
+    first = cells.withColumn("_start", unknown).groupBy(*cell).applyInPandas(one, schema).checkpoint()
+    done, mended = first, None
     while True:
         across = Window.partitionBy(*series.keys).orderBy("_chunk")
         links = done.filter("_leave IS NOT NULL").select(
@@ -125,4 +126,8 @@ def _relay(df: DataFrame, prices: tuple[str, str, str], series: Series, name: st
         if broken.isEmpty():
             return done.select(*df.columns, name)
         again = cells.join(broken, cell).groupBy(*cell).applyInPandas(one, schema)
-        done = done.join(broken, cell, "left_anti").unionByName(again).checkpoint()
+        if mended is not None:
+            again = mended.join(broken, cell, "left_anti").unionByName(again)
+        # Only the chunks that ever failed are written again.
+        mended = again.checkpoint()
+        done = first.join(mended.select(*cell).distinct(), cell, "left_anti").unionByName(mended)

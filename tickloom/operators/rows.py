@@ -11,6 +11,9 @@ from tickloom.functions.window import shift
 from tickloom.plans import DAILY, Running, Series, with_features, with_running
 from tickloom.plans.running import position
 
+# Steps of a gap that one array opens, in forward_fill.
+STRETCH = 4096
+
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(mapping))
@@ -123,8 +126,14 @@ def best_by_score(df: DataFrame, score: str, *ties: str) -> DataFrame:
 def stack(first: DataFrame, second: DataFrame, index: str, series: Series = DAILY) -> DataFrame:
     """Rows of ``first`` followed by rows of ``second`` per series, renumbered in ``index``.
 
-    Rows keep their own order inside each part, also where the parts overlap in time.
+    Rows keep their own order inside each part, also where the parts overlap in time. Series bounded by
+    the calendar are numbered in one exchange; long ones part by part.
     """
+    if series.cut_rows(first) is None and series.cut_rows(second) is None:
+        cols = list(first.columns)
+        both = first.withColumn("_part", F.lit(0)).unionByName(second.select(*cols).withColumn("_part", F.lit(1)))
+        w = Window.partitionBy(*series.keys).orderBy("_part", series.order)
+        return both.withColumn(index, F.row_number().over(w).cast("bigint") - 1).select(*cols, index)
     a, b = (
         row_index(part.withColumn("_part", F.lit(i)), "_at", series)
         for i, part in enumerate((first, second))
@@ -172,7 +181,8 @@ def forward_fill(
 ) -> DataFrame:
     """Insert the missing time steps of each series and carry the last values over them.
 
-    ``step`` is in days of a date, seconds of a timestamp, units of a number. The steps a row opens
+    ``step`` is in days of a date, seconds of a timestamp, units of a number. Gaps are opened in stretches of
+    ``STRETCH`` steps, so no array grows with a gap alone. The steps a row opens
     (itself up to the next row's) come from the row alone, so no calendar is joined and values need no lookup.
     """
     filled = with_running(
@@ -184,15 +194,20 @@ def forward_fill(
     dates = series.cut_rows(df) is None or dict(df.dtypes)[series.order] == "date"
     if dates:
         last = F.coalesce(F.date_sub(until, 1), here)
-        steps = F.sequence(here, F.greatest(last, here), F.expr(f"interval {step} day"))
+        by = lambda n: F.expr(f"interval {n} day")
     elif dict(df.dtypes)[series.order].startswith("timestamp"):
         last = F.coalesce(until - F.expr("interval 1 microsecond"), here)
-        steps = F.sequence(here, F.greatest(last, here), F.expr(f"interval {step} second"))
+        by = lambda n: F.expr(f"interval {n} second")
     else:
         last = F.coalesce(until - 1, here)
-        steps = F.sequence(here, F.greatest(last, here), F.lit(step).cast(df.schema[series.order].dataType))
+        by = lambda n: F.lit(n).cast(df.schema[series.order].dataType)
+    last = F.greatest(last, here)
     rest = [c for c in df.columns if c not in {*cols, *series.keys, series.order}]
-    out = spans.withColumn("_step", F.explode(steps))
+    stretches = spans.withColumn("_last", last).withColumn(
+        "_from", F.explode(F.sequence(here, F.col("_last"), by(step * STRETCH)))
+    )
+    until_ = F.least(F.col("_last"), F.col("_from") + by(step * (STRETCH - 1)))
+    out = stretches.withColumn("_step", F.explode(F.sequence("_from", until_, by(step))))
     original = F.col("_step") == here
     return out.select(
         *series.keys,

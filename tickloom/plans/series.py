@@ -10,10 +10,9 @@ are not NULL).
   each bucket, fixed windows go by numbered chunk plus copied edge rows. No task sees a whole
   series.
 
-Buckets are bounded too. A wide bucket is used alone only after a count shows that none holds
-more than ``GROUP_ROWS`` rows of a key; otherwise narrow buckets lie inside wide ones, and the
-uniqueness of the order bounds both: at most 10⁶ microseconds in a second or 65,536 positions in
-a narrow bucket, and 65,536 narrow buckets in a wide one.
+Buckets are bounded too. Narrow buckets lie inside wide ones, and the uniqueness of the order
+bounds both: at most 10⁶ microseconds in a second or 65,536 positions in a narrow bucket, and
+65,536 narrow buckets in a wide one. Numbers with fractions have no such bound; number such rows first.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK_ROWS = 65_536
-GROUP_ROWS = 1 << 20
 # Narrow and wide bucket: seconds of a timestamp, units of a number.
 SECONDS, UNITS = (1, 1 << 16), (1 << 16, 1 << 32)
 
@@ -36,7 +34,7 @@ class Series:
 
     ``chunk_rows``: "auto" cuts unless the order is a DATE; a number always cuts; None never does.
     ``bucket``: widths of the time buckets, narrow to wide, in days, seconds or units; by default
-    chosen from the data. ``ties`` order rows of equal ``order`` in running values.
+    chosen by the type of the order. ``ties`` order rows of equal ``order`` in running values.
     """
 
     key: tuple[str, ...] | str = ("symbol",)
@@ -79,10 +77,7 @@ class Series:
         if isinstance(kind, T.DateType):
             return [CHUNK_ROWS]
         times = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
-        narrow, wide = SECONDS if times else UNITS
-        cells = df.groupBy(*self.keys, bucket_start(self.clock(df), wide)).count()
-        fullest = cells.agg(F.max("count")).first()[0] or 0
-        return [wide] if fullest <= GROUP_ROWS else [narrow, wide]
+        return list(SECONDS if times else UNITS)
 
 
 def bucket_start(clock: Column, width: int) -> Column:
