@@ -5,6 +5,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from conftest import by_series, close_to, make_bars, to_spark
+from tickloom.operators import aggregate as agg
 from tickloom.operators import features, forecast, learn, rows
 
 
@@ -126,3 +127,10 @@ def test_hierarchical_splits_centred_data(spark):
     out = learn.hierarchical(df, 4)
     assert out.columns == ["features", "cluster"]
     assert out.select("cluster").distinct().count() == 4
+
+
+def test_latest_values_need_no_sort(spark):
+    df = spark.range(10).selectExpr("'A' AS symbol", "date_add(DATE '2020-01-01', cast(id AS int)) AS date", "id * 1.0D AS x")
+    out = agg.latest_snapshot(df, ["x", "date"])
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.first()["x"] == 9.0

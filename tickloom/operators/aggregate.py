@@ -23,9 +23,8 @@ def return_stats(df: DataFrame, price: str = "close", series: Series = DAILY) ->
 
 
 def latest_snapshot(df: DataFrame, cols: Sequence[str], series: Series = DAILY) -> DataFrame:
-    """The listed columns of the last row of each series."""
-    last = F.max_by(F.struct(*cols), F.col(series.order)).alias("_last")
-    return df.groupBy(*series.keys).agg(last).select(*series.keys, "_last.*")
+    """The listed columns of the last row of each series, without a sort where they have fixed width."""
+    return df.groupBy(*series.keys).agg(*[F.max_by(c, series.order).alias(c) for c in cols])
 
 
 def resample_first(

@@ -95,15 +95,11 @@ def stock_features(df: DataFrame, series: Series = DAILY) -> DataFrame:
         ind.atr_sma().named("atr"), ind.avg_volume(),
         series=series,
     )
-    latest = F.max_by(F.struct(*VECTOR[2:]), F.col(series.order)).alias("_last")
-    return (
-        rows.groupBy(*series.keys)
-        .agg(
-            F.avg(change.name).alias("mean_return"),
-            F.stddev_samp(change.name).alias("volatility"),
-            latest,
-        )
-        .select(*series.keys, "mean_return", "volatility", "_last.*")
+    # One buffer of fixed width per column: a struct of them would be aggregated by sorting.
+    return rows.groupBy(*series.keys).agg(
+        F.avg(change.name).alias("mean_return"),
+        F.stddev_samp(change.name).alias("volatility"),
+        *[F.max_by(c, series.order).alias(c) for c in VECTOR[2:]],
     )
 
 
