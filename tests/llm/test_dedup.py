@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from tests.llm.conftest import fold, rows_of, words_of
 from tickloom.llm import neardup
 from tickloom.llm.components import components
@@ -78,6 +79,25 @@ def test_near_duplicates(make_docs, monkeypatch, block):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, *_, k in want if k}
 
 
+@pytest.mark.parametrize("block", [512, 4])
+def test_copies_from_80_percent(spark, make_docs, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rows = [(10 + i, t) for i, t in enumerate(families(random.Random(9), 8, 10, 4))]
+    sets = {i: shingles(t) for i, t in rows}
+    share = {(a, b): 100 * len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    kept = {}
+    for percent in (80, 85):
+        comp = groups([e for e, s in share.items() if s >= percent])
+        kept[percent] = {i for i in sets if comp.get(i, i) == i}
+    docs = make_docs(*rows)
+    staged = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "")
+    assert kept[80] < kept[85]
+    assert {r["doc_id"] for r in staged.collect()} == kept[80]
+    assert {r["doc_id"] for r in without_copies(docs).collect()} == kept[85]
+    with pytest.raises(ValueError):
+        near_duplicates(docs, percent=79)
+
+
 def test_near_duplicates_odd_ids(make_docs):
     text = " ".join(f"w{i}" for i in range(40))
     other = " ".join(f"z{i}" for i in range(40))

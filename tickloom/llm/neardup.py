@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,10 +20,8 @@ WORDS = 5
 #: Bands and minima in each: a pair at similarity 0.85 shares a band with probability 1 - 8e-7, at 0.8 with 0.9999.
 BANDS, ROWS = 24, 5
 MINIMA = BANDS * ROWS
-#: Linked documents share this share of the union of their sets, in percent.
-PERCENT = 85
-#: Share of equal minima, 5 deviations below PERCENT, under which a pair isn't read again.
-SIGNED = 0.68
+#: Linked documents share this share of the union of their sets, in percent, if not said otherwise; the least the bands are for.
+PERCENT, LEAST_PERCENT = 85, 80
 #: Members of a block of an unresolved bucket that are compared with each other.
 BLOCK = 512
 BROADCAST_ROWS = 1_000_000
@@ -67,6 +66,12 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def signed_share(percent: int) -> float:
+    """Share of equal minima, 5 deviations below ``percent``, under which a pair isn't read again: 0.68 for 85, 0.61 for 80."""
+    p = percent / 100
+    return math.floor(100 * (p - 5 * math.sqrt(p * (1 - p) / MINIMA))) / 100
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, a digest of the set (null if empty) and the signature of every row."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +99,7 @@ def banded(reps: DataFrame) -> DataFrame:
     return reps.select("rep", F.explode(keys("sig")).alias("band"))
 
 
-def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def agreeing(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) whose sizes and signatures allow a link."""
     @F.pandas_udf("double")
     def share(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -104,11 +109,11 @@ def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     left = reps.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("sig_a"))
     right = reps.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sig").alias("sig_b"))
     sized = pairs.join(left, "a").join(right, "b").where(
-        100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-    return sized.where(share("sig_a", "sig_b") >= SIGNED).select("a", "b")
+        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    return sized.where(share("sig_a", "sig_b") >= signed_share(percent)).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) that are links by their full sets."""
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         text, known = None, np.zeros(0)
@@ -117,7 +122,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for x, y in zip(frame["text_a"], frame["text_b"], strict=True):
                 if x != text:
                     text, known = x, next(sets_of([x]))
-                keep.append(linked(known, next(sets_of([y]))))
+                keep.append(linked(known, next(sets_of([y])), percent))
             yield frame.loc[keep, ["a", "b"]]
 
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
@@ -126,7 +131,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         check, "a bigint, b bigint")
 
 
-def across(buckets: DataFrame, reps: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
+def across(buckets: DataFrame, reps: DataFrame, texts: DataFrame, known: DataFrame,
+           percent: int = PERCENT) -> DataFrame:
     """Links between different components in one bucket, as a spanning forest of each pair of blocks.
 
     Only buckets that hold more than one component come here. Their members are dealt to blocks of bounded
@@ -145,6 +151,7 @@ def across(buckets: DataFrame, reps: DataFrame, texts: DataFrame, known: DataFra
         "band", "rep", "comp", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
         (F.col("block") <= F.col("with")).alias("left"))
     full = paired.join(reps.select("rep", "n_shingles", "sig"), "rep").join(texts, "rep")
+    least = signed_share(percent)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         band, i, j = int(group["band"].iloc[0]), int(group["i"].iloc[0]), int(group["j"].iloc[0])
@@ -163,15 +170,15 @@ def across(buckets: DataFrame, reps: DataFrame, texts: DataFrame, known: DataFra
         found = []
         for x in np.flatnonzero(left):
             rest = np.flatnonzero((comp != comp[x]) & ((rep > rep[x]) if i == j else ~left))
-            rest = rest[(100 * np.minimum(size[rest], size[x]) >= PERCENT * np.maximum(size[rest], size[x]))]
-            rest = rest[(sig[rest] == sig[x]).mean(axis=1) >= SIGNED]
+            rest = rest[(100 * np.minimum(size[rest], size[x]) >= percent * np.maximum(size[rest], size[x]))]
+            rest = rest[(sig[rest] == sig[x]).mean(axis=1) >= least]
             for y in rest:
                 if keys[x][(keys[x] == keys[y]).argmax()] != band or top(int(comp[x])) == top(int(comp[y])):
                     continue
                 for z in (x, y):
                     if z not in sets:
                         sets[z] = next(sets_of([texts_[z]]))
-                if linked(sets[x], sets[y]):
+                if linked(sets[x], sets[y], percent):
                     root[top(int(comp[x]))] = top(int(comp[y]))
                     found.append((int(rep[x]), int(rep[y])))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
@@ -179,7 +186,8 @@ def across(buckets: DataFrame, reps: DataFrame, texts: DataFrame, known: DataFra
     return full.groupBy("band", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
     Equal sets are one node from the start, however many rows have them. Nodes that share a band with
@@ -189,8 +197,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null and empty texts have no set, and no links; rows that share an id are one document, linked to what
     any of them is linked to; a row with a null id has no component and is kept; other columns are not
-    read; no rows give no rows.
+    read; no rows give no rows. ``percent`` of the union is shared by a link; below LEAST_PERCENT the bands
+    would miss pairs.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {LEAST_PERCENT} to 100")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     bounded_batches(docs.sparkSession)
     sets = stored(signed(rows))
@@ -211,9 +222,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen_text = rows.join(needed, rows["doc_id"] == F.col("rep"), "left_semi")
     texts = stored(distinct_texts(chosen_text, member))
     pairs = buckets.where("rep != a").select("a", F.col("rep").alias("b")).distinct()
-    stars = stored(confirmed(agreeing(pairs, reps), texts))
+    stars = stored(confirmed(agreeing(pairs, reps, percent), texts, percent))
     known = components(stars)
-    more = across(buckets.select("band", "rep"), reps, texts, known)
+    more = across(buckets.select("band", "rep"), reps, texts, known, percent)
     links = stars.union(more).union(same_id)
     final = components(links)
     joined = member.join(final, F.col("rep") == F.col("node"), "left")
@@ -230,12 +241,13 @@ def distinct_texts(rows: DataFrame, member: DataFrame) -> DataFrame:
     return texts.join(twice, "rep", "left_anti").union(again)
 
 
-def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   percent: int = PERCENT) -> DataFrame:
     """One row of each group of near-duplicates: that of the smallest id, any one of rows that share it.
 
     Rows without words or with a null id are in no group and stay.
     """
-    found = near_duplicates(docs, id_col, text_col)
+    found = near_duplicates(docs, id_col, text_col, percent)
     gone = small(found.where(~F.col("kept")).select(F.col("doc_id").alias("t_gone")).distinct(), BROADCAST_ROWS)
     left = docs.join(gone, docs[id_col] == F.col("t_gone"), "left_anti")
     twice = found.where("kept AND doc_id IS NOT NULL AND n_shingles > 0").groupBy(F.col("doc_id").alias("t_id")).count().where("count > 1")
