@@ -50,6 +50,29 @@ def test_entropy_allow_list_and_windows():
     assert {j for a, b in window_spans(s, 3.4) for j in range(a, b)} == hit
 
 
+def test_entropy_in_long_keys():
+    from tickloom.llm.secrets import entropy_spans
+
+    rng = random.Random(6)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    blob = "".join(rng.choices(base64, k=1600))
+    seen = {i for a, _, b in entropy_spans(blob) for i in range(a, b)}
+    assert len(seen) > 1500
+    for put in ("//", "example", "xxxx"):
+        text = blob[:800] + put + blob[800:]
+        got = {i for a, _, b in entropy_spans(text) for i in range(a, b)}
+        assert len(got) > len(seen) - 60, put
+        assert mask(text).count("[SECRET]") >= 1 and len(mask(text)) < 200
+    key = blob[:40]
+    assert entropy_spans(key[:20] + "//" + key[20:]) and entropy_spans("//" + key)
+    for scheme in ("https", "s3a", "git+ssh"):
+        assert not entropy_spans(f"see {scheme}://{key}")
+    for digest in ("sha256-" + blob[:43] + "=", "SHA1_" + "0a1b2c3d4e" * 4, "md5=" + "9f8e7d6c5b4a" * 2, "sha512-" + blob[:86] + "=="):
+        assert not entropy_spans(digest), digest
+    assert entropy_spans("sha256-" + blob)
+    assert not entropy_spans("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY")
+
+
 def brute_quality(text):
     w, t = words_of(text), text or ""
     lines = [x for x in t.split("\n") if words_of(x)]

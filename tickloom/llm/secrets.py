@@ -25,10 +25,19 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 #: Bits a character that some window of a candidate must reach, by the class of its characters.
 BITS = {"hex": 2.9, "alnum": 3.6, "base64": 3.6}
-#: Candidates with one of these are documentation, not secrets.
+#: Words of documentation: windows that touch one, or the REACH characters on either side of it, are no secrets.
 ALLOWED = re.compile(
-    r"example|sample|placeholder|dummy|changeme|xxxx|0123456789|123456789|abcdefgh|test[_-]?key|your[_-]|"
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^(sha(1|256|384|512)|md5)[-_=]|://|//", re.I)
+    r"example|sample|placeholder|dummy|changeme|xxxx|0123456789|123456789|abcdefgh|test[_-]?key|your[_-]", re.I)
+REACH = WINDOW
+#: Named digests, by their bytes: hex digits, perhaps cut short, or base64 of the full length. Windows that touch one are no secrets.
+DIGESTS = {"md5": 16, "sha1": 20, "sha256": 32, "sha384": 48, "sha512": 64}
+DIGEST = re.compile(r"(?<![A-Za-z0-9])(?:" + "|".join(
+    rf"{name}[-_=](?:[0-9a-f]{{1,{2 * n}}}|[A-Za-z0-9+/_-]{{{-(-4 * n // 3)}}}={{0,2}})(?![A-Za-z0-9+/])"
+    for name, n in DIGESTS.items()) + ")", re.I)
+UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+#: What stands before the '//' of a URL.
+SCHEME = re.compile(r"(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]*:\Z")
+LONGEST_SCHEME = 32
 
 _PLOGP = [0.0] + [k * math.log2(k) for k in range(1, WINDOW + 1)]
 
@@ -76,15 +85,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def is_url(text: str, start: int) -> bool:
+    """Whether the candidate at ``start`` is what follows the scheme of a URL."""
+    return text.startswith("//", start) and SCHEME.search(text[max(0, start - LONGEST_SCHEME) : start]) is not None
+
+
+def unlisted(s: str) -> Iterator[tuple[int, int]]:
+    """The stretches of a candidate that the allow-list leaves; windows inside one touch nothing allow-listed."""
+    listed = [(m.start() - REACH, m.end() + REACH) for m in ALLOWED.finditer(s)]
+    listed += [m.span() for m in DIGEST.finditer(s)]
+    at = 0
+    for a, b in sorted(listed):
+        if a > at:
+            yield at, a
+        at = max(at, b)
+    if at < len(s):
+        yield at, len(s)
+
+
 def entropy_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of high-entropy stretches in candidates that the allow-list lets through."""
+    """(start, kind, end) of high-entropy stretches in candidates, but for URLs, UUIDs and what the allow-list takes out."""
     found = []
     for m in CANDIDATE.finditer(text):
         s = m[0]
         kind = char_class(s)
-        if kind is None or ALLOWED.search(s):
+        if kind is None or UUID.fullmatch(s) or is_url(text, m.start()):
             continue
-        found += [(m.start() + a, 3, m.start() + b) for a, b in window_spans(s, BITS[kind])]
+        for at, end in unlisted(s):
+            found += [(m.start() + at + a, 3, m.start() + at + b) for a, b in window_spans(s[at:end], BITS[kind])]
     return found
 
 
