@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -159,6 +160,27 @@ def test_toxicity(spark, make_docs):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_few_labels_make_a_detector(spark, make_docs):
+    rng = random.Random(8)
+    def text(*marks):
+        return " ".join([*("".join(rng.choices("abcdefgh", k=4)) for _ in range(30)), *marks])
+    docs = [(i, text(*(["idiot", "moron"] if i % 6 == 0 else []))) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(60)], "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(make_docs(*docs), labels).collect()}
+    assert np.mean([got[i]["predicted"] == (i % 6 == 0) for i in got]) > 0.9
+    assert sum(r["predicted"] for r in got.values()) >= 5
+
+
+def test_rare_class_is_drawn_whole(spark):
+    fitting = spark.range(20_000).select(F.col("id").alias("t_id"), (F.col("id") % 400 == 0).cast("int").alias("label"))
+    for rare, rows in ((1, fitting), (0, fitting.withColumn("label", 1 - F.col("label")))):
+        sizes = {r["label"]: (r["n"], r["w"]) for r in toxicity.drawn(rows, 1_000).groupBy("label").agg(
+            F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+        assert sizes[rare] == (50, 50)
+        assert 800 < sizes[1 - rare][0] < 1_100 and sizes[1 - rare][1] == pytest.approx(19_950, rel=0.15)
+    assert toxicity.drawn(fitting.limit(900), 1_000).where("weight = 1").count() == 900
+
+
 def test_disguised_words_are_seen():
     of = toxicity.Features({"idiot": 6.0}).of
     names = dict(zip(toxicity.NAMES, of("you 1d1ot of i.d.i.o.t kind"), strict=True))

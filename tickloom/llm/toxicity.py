@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,19 +15,21 @@ from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.text import bounded_batches, small
 from tickloom.plans.scratch import stored
 
-#: Labelled rows the model is fitted on, about; more are thinned by a hash of their id.
+#: Labelled rows the model is fitted on, about; more are thinned by a hash of their id, each class for itself, and weighted.
 SAMPLE_ROWS = 12_000
+#: Share of the sample that the rarer class may fill, if it isn't more common than that: all its rows up to 3,000 are used.
+RARE_SHARE = 0.25
 #: Most entries of the learned lexicon, and rows of the positive class that an entry must occur in.
 LEXICON, SUPPORT = 4_000, 4
 TREES, DEPTH, BINS = 20, 4, 32
-#: With fewer rows of a class than this in the fitting part, the score is the share of positives.
-LEAST_ROWS = 10
+#: With fewer documents of a class than this in the sample, all rows serve the lexicon, the trees and the calibration, by folds.
+FEW, FOLDS = 50, 5
 
 #: Second-person words of the four languages.
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch euer sie ihnen tu te toi ton ta tes "
@@ -126,7 +129,7 @@ def featured(text: Column, lexicon: dict[str, float]) -> Column:
     return features(text)
 
 
-def learned_lexicon(rows: DataFrame) -> dict[str, float]:
+def learned_lexicon(rows: DataFrame, support: int = SUPPORT) -> dict[str, float]:
     """Words and prefixes that mark the positive class, with their log odds; at most LEXICON of them.
 
     ``rows`` (text, label) is the bounded fitting sample; only the strongest entries reach the driver.
@@ -142,7 +145,7 @@ def learned_lexicon(rows: DataFrame) -> dict[str, float]:
         F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("q"))
     odds = F.log((F.col("p") + 0.25) / (positive + 0.5)) - F.log((F.col("q") + 0.25) / (negative + 0.5))
     best = (
-        counted.where(F.col("p") >= SUPPORT).withColumn("odds", odds).where(F.col("odds") >= 1.5)
+        counted.where(F.col("p") >= support).withColumn("odds", odds).where(F.col("odds") >= 1.5)
         .orderBy(F.desc(F.col("odds") * F.sqrt("p")), "term").limit(LEXICON).collect())
     return {r["term"]: float(r["odds"]) for r in best}
 
@@ -167,7 +170,11 @@ class Scorer:
         return scored.select("t_row", blended.alias("t_score")).select("t_row.*", F.col("t_score").alias(out))
 
     def raw(self, rows: DataFrame) -> DataFrame:
-        return self.trees.transform(rows).withColumn("t_raw", F.get(vector_to_array("t_probability"), F.lit(1)))
+        return raw_score(self.trees, rows)
+
+
+def raw_score(trees: Model, rows: DataFrame) -> DataFrame:
+    return trees.transform(rows).withColumn("t_raw", F.get(vector_to_array("t_probability"), F.lit(1)))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -175,39 +182,91 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def drawn(fitting: DataFrame, sample_rows: int) -> DataFrame:
+    """About ``sample_rows`` of the rows (t_id, label), with the number of rows that each stands for as ``weight``.
+
+    The rarer class is thinned only beyond RARE_SHARE of the sample or its own share, whichever is more.
+    """
+    sizes = {r["label"]: r["count"] for r in fitting.groupBy("label").count().collect()}
+    rare, total = min((0, 1), key=lambda y: sizes.get(y, 0)), sum(sizes.values())
+    most = {rare: max(sample_rows * RARE_SHARE, sample_rows * sizes.get(rare, 0) / max(1, total))}
+    most[1 - rare] = sample_rows - min(most[rare], sizes.get(rare, 0))
+    share = {y: min(1.0, most[y] / max(1, sizes.get(y, 0))) for y in (0, 1)}
+    spot = F.pmod(F.xxhash64("t_id", F.lit(17)), F.lit(1_000_000_000)) / 1e9
+    own = F.when(F.col("label") == 1, share[1]).otherwise(share[0])
+    return fitting.where(spot < own).withColumn("weight", 1 / own)
+
+
+def fitted_trees(shaped: DataFrame, least: int = 5) -> Model:
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=BINS, stepSize=0.2, seed=7, minInstancesPerNode=least,
+                          weightCol="weight", predictionCol="t_class")
+    return trees.setProbabilityCol("t_probability").setRawPredictionCol("t_margin").fit(shaped.coalesce(6))
+
+
+def calibrated(raw: DataFrame) -> Model:
+    return IsotonicRegression(featuresCol="t_raw", labelCol="label", weightCol="weight", predictionCol="t_scaled").fit(raw)
+
+
+def shaped_rows(rows: DataFrame, part: str, lexicon: dict[str, float]) -> DataFrame:
+    return rows.select(part, F.col("label").cast("double").alias("label"), "weight", featured(F.col("text"), lexicon).alias("x"))
+
+
+def with_vector(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("features", array_to_vector("x")).drop("x")
+
+
+def fit_by_parts(rows: DataFrame, prior: float) -> Scorer:
+    """The lexicon, the trees and the calibration from separate tenths of the documents."""
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("t_id", F.lit(5)), F.lit(10)))
+    lexicon = learned_lexicon(rows.where(F.col("part") < 4))
+    ready = with_vector(stored(shaped_rows(rows.where(F.col("part") >= 4), "part", lexicon)))
+    scorer = Scorer(lexicon, prior, fitted_trees(ready.where(F.col("part") < 8)))
+    scorer.scale = calibrated(scorer.raw(ready.where(F.col("part") >= 8)))
+    return scorer
+
+
+def fit_by_folds(rows: DataFrame, prior: float, least: int) -> Scorer:
+    """All three from all rows: features and raw scores that are fitted on are of models that have not seen the row's fold.
+
+    Every fold holds documents of both classes; ``least`` is the number of documents of the rarer one, 2 or more.
+    """
+    folds, support, leaf = min(FOLDS, least), max(2, min(SUPPORT, least // 4)), max(1, min(5, least // 4))
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("t_id", F.lit(5)), "t_id"))
+    ids = rows.select("t_id", "label").distinct().withColumn("fold", F.pmod(place, F.lit(folds))).select("t_id", "fold")
+    dealt = stored(rows.join(ids, "t_id"))
+
+    def apart(table: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+        return [(table.where(F.col("fold") != k), table.where(F.col("fold") == k)) for k in range(folds)]
+
+    shaped = reduce(DataFrame.union, (shaped_rows(own, "fold", learned_lexicon(rest, support)) for rest, own in apart(dealt)))
+    ready = with_vector(stored(shaped))
+    raw = reduce(DataFrame.union, (raw_score(fitted_trees(rest, leaf), own).select("label", "weight", "t_raw")
+                                   for rest, own in apart(ready)))
+    return Scorer(learned_lexicon(dealt, support), prior, fitted_trees(ready, leaf), calibrated(raw))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Scorer:
     """A scorer from the labelled rows that are not held out.
 
-    The lexicon, the trees and the calibration are fitted on separate parts of a bounded sample. Labels without
-    a document, rows with a null id, label or both, and repeated labels of an id (the largest counts) do no
-    harm; labels with one class alone give a constant score.
+    The lexicon, the trees and the calibration are fitted on separate parts of a bounded sample, or by folds
+    if a class is small. Labels without a document, rows with a null id, label or both, and repeated labels of an id
+    (the largest counts) do no harm. The share of positives is the score of all only where a class has no second
+    document, so that none is left to learn from when one is set apart.
     """
     bounded_batches(docs.sparkSession)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("t_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     fitting = known.where(~held_out(F.col("t_id")))
-    spot = F.pmod(F.xxhash64("t_id", F.lit(17)), F.lit(1_000_000))
-    totals = fitting.agg(F.count("*").alias("n"), F.avg("label").alias("p")).first()
-    share = min(1.0, sample_rows / max(1, totals["n"]))
-    sample = fitting.where(spot < int(share * 1_000_000)).withColumn("part", F.pmod(F.xxhash64("t_id", F.lit(5)), F.lit(10)))
-    prior = float(totals["p"] or 0.0)
-    rows = stored(docs.select(F.col(id_col).alias("t_id"), F.col(text_col).cast("string").alias("text"))
-                  .join(small(sample, 2 * sample_rows), "t_id").select("text", "label", "part"))
-    sizes = {(r["b"], r["label"]): r["count"] for r in
-             rows.groupBy((F.col("part") >= 4).alias("b"), "label").count().collect()}
-    if min(sizes.get((b, y), 0) for b in (False, True) for y in (0, 1)) < LEAST_ROWS:
+    prior = float(fitting.agg(F.avg("label")).first()[0] or 0.0)
+    texts = docs.select(F.col(id_col).alias("t_id"), F.col(text_col).cast("string").alias("text"))
+    found = stored(fitting.join(texts.select("t_id"), "t_id", "left_semi"))
+    rows = stored(texts.join(small(drawn(found, sample_rows), 2 * sample_rows), "t_id"))
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count_distinct("t_id").alias("n")).collect()}
+    least = min(sizes.get(y, 0) for y in (0, 1))
+    if least < 2:
         return Scorer({}, prior)
-    lexicon = learned_lexicon(rows.where(F.col("part") < 4))
-    shaped = stored(rows.where(F.col("part") >= 4).select(
-        "label", "part", featured(F.col("text"), lexicon).alias("x")))
-    ready = shaped.select("part", F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features"))
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=BINS, stepSize=0.2, seed=7, minInstancesPerNode=5,
-                          predictionCol="t_class").setProbabilityCol("t_probability").setRawPredictionCol("t_margin")
-    scorer = Scorer(lexicon, prior, trees.fit(ready.where(F.col("part") < 8).coalesce(6)))
-    scorer.scale = IsotonicRegression(featuresCol="t_raw", labelCol="label", predictionCol="t_scaled").fit(
-        scorer.raw(ready.where(F.col("part") >= 8)))
-    return scorer
+    return fit_by_parts(rows, prior) if least >= FEW else fit_by_folds(rows, prior, least)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
