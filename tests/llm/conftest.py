@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import re
-
 import pytest
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, t_row string, words string"
@@ -15,15 +13,3 @@ def make_docs(spark):
         return spark.createDataFrame(full, DOCS).repartition(parts)
 
     return make
-
-
-def words_of(text: str | None) -> list[str]:
-    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
-
-
-def fold(text: str | None) -> str:
-    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-
-
-def rows_of(df, *cols) -> list[tuple]:
-    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)

@@ -8,7 +8,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from tests.llm.conftest import fold, rows_of, words_of
+from tests.llm.plain import fold, rows_of, words_of
 from tickloom.llm import neardup
 from tickloom.llm.components import components
 from tickloom.llm.decontaminate import contained_items, without_items

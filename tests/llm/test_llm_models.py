@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tests.llm.conftest import rows_of
+from tests.llm.plain import rows_of
 from tickloom.llm import chat, packing, toxicity
 from tickloom.llm.queries import table
 

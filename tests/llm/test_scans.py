@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from tests.llm.conftest import fold, rows_of, words_of
+from tests.llm.plain import fold, rows_of, words_of
 from tickloom.llm import licenses, tokens
 from tickloom.llm.quality import quality
 from tickloom.llm.secrets import find_secrets, mask, window_spans
