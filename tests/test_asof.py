@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by_series, close_to, make_bars, to_spark
+from tests.frames import by_series, close_to, make_bars, to_spark
 from tickloom.operators.asof import align_panel, asof_join, daily_calendar, enrich_asof
 
 

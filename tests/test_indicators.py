@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import by_series, close_to, make_bars, to_spark
+from tests.frames import by_series, close_to, make_bars, to_spark
 from tickloom import DAILY, Series, with_features
 from tickloom.functions import indicators as ind
 from tickloom.operators import features, psar

@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from conftest import by_series, close_to, make_bars, to_spark
+from tests.frames import by_series, close_to, make_bars, to_spark
 from tickloom.operators import aggregate as agg
 from tickloom.operators import features, forecast, learn, rows
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by_series, close_to, make_bars, to_spark
+from tests.frames import by_series, close_to, make_bars, to_spark
 from tickloom import DAILY, Series
 from tickloom.operators import aggregate as agg
 from tickloom.operators import asof, rows, scaling

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from conftest import by_series, close_to, make_bars, to_spark
+from tests.frames import by_series, close_to, make_bars, to_spark
 from tickloom import DAILY, Series
 from tickloom.operators import backtest as book
 

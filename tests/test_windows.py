@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from conftest import by_series, close_to, make_bars, to_spark
+from tests.frames import by_series, close_to, make_bars, to_spark
 from tickloom import DAILY, Running, Series, with_features, with_running
 from tickloom.functions import window as win
 from tickloom.functions.recurrence import ema, wilder
