@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.llm.chat import format_chats
 from tickloom.llm.decontaminate import contained_items
 from tickloom.llm.licenses import license_scan
 from tickloom.llm.neardup import near_duplicates
 from tickloom.llm.packing import pack
+from tickloom.llm.periods import periodic_runs
 from tickloom.llm.quality import quality
 from tickloom.llm.secrets import find_secrets
 from tickloom.llm.substrings import substring_dedup
+from tickloom.llm.text import sql_words
 from tickloom.llm.tokens import count_tokens
 from tickloom.llm.toxicity import toxicity
 
@@ -68,15 +71,54 @@ def op10_chats(spark: SparkSession, folder: str) -> DataFrame:
     return format_chats(table(spark, folder, "conversations"))
 
 
+def checksum(text: Column) -> Column:
+    """Unsigned CRC-32 of a text's UTF-8 bytes."""
+    return F.crc32(text.cast("string").cast("binary"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, text; of every tenth document, chosen by the id's checksum, the end of the text repeats its beginning."""
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), checksum(F.col("doc_id")).alias("h"))
+    rows = rows.withColumn("w", F.when(F.col("h") % 10 == 0, sql_words(F.col("text"))))
+    rows = rows.withColumns({"n": F.coalesce(F.size("w"), F.lit(0)).cast("bigint"), "g": F.expr("h div 10")})
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.expr("g % n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    place = F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)
+    words = F.transform(place, lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(
+        F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periods(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(with_repeats(table(spark, folder, "documents")))
+    listed = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"),
+                                                            r["period"].alias("period"))))
+    rows = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+                        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return rows.select("doc_id", "n_runs", "best.start", (-F.col("best.less")).alias("length"), "best.period",
+                       F.expr("1000 * -best.less div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_near_duplicates, op3_secrets, op4_quality, op5_licenses, op6_tokens,
-                            op7_decontamination, op8_packing, op9_substrings, op10_chats)
+                            op7_decontamination, op8_packing, op9_substrings, op10_chats, op13_periods)
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 
+def _checksum(hexed: str) -> str:
+    """SQL: unsigned CRC-32 of the bytes whose hex digits a column holds, eight bits of each byte in turn."""
+    digit = "instr('0123456789ABCDEF', {}[2 * (i // 8) + {}]) - 1"
+    byte = f"16 * ({digit.format(hexed, 1)}) + {digit.format(hexed, 2)}"
+    fed = f"list_transform(range(4 * len({hexed})), lambda i: CASE WHEN i % 8 = 0 THEN {byte} ELSE 0 END::BIGINT)"
+    step = "lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)"
+    return f"xor(list_reduce({fed}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
 def _shingles(table: str, key: str) -> str:
     """SQL: key and distinct shingle of the texts of a table; fewer than five words are one shingle."""
     words = WORDS.format(FOLD)
@@ -115,4 +157,27 @@ ORACLES: dict[str, str] = {
         kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
         SELECT doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op13_periods": f"""
+        WITH d0 AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w0, hex(CAST(doc_id AS VARCHAR)) AS x FROM documents),
+        d1 AS (SELECT doc_id, w0, len(w0) AS n, {_checksum("x")} AS h FROM d0),
+        d2 AS (SELECT *, h // 10 AS g, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a FROM d1),
+        d3 AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM d2),
+        doc AS MATERIALIZED (SELECT doc_id, list_transform(range(n), lambda i:
+            w0[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) AS w FROM d3),
+        win AS MATERIALIZED (SELECT doc_id, i, array_to_string(list_slice(w, i + 1, i + 6), ' ') AS s FROM (
+            SELECT doc_id, w, unnest(range(len(w) - 5)) AS i FROM doc WHERE len(w) >= 12)),
+        pair AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM win x JOIN win y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
+        part AS (SELECT doc_id, q, min(i) AS a, max(i) - min(i) + 6 + q AS n FROM (
+            SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pair) GROUP BY doc_id, q, island),
+        run AS MATERIALIZED (SELECT doc_id, a, n, min(q) AS q FROM part WHERE n >= greatest(12, 2 * q) GROUP BY doc_id, a, n),
+        best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, a, q) = 1),
+        listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(a, ',', n, ',', q, chr(10)), '' ORDER BY a, q) AS t
+            FROM run GROUP BY doc_id),
+        gone AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, unnest(range(a + q, a + n)) AS i FROM run)),
+        word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM doc),
+        kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.a AS start, best.n AS length, best.q AS period,
+            1000 * best.n // best.q AS exponent_milli, sha256(coalesce(listed.t, '')) AS runs_sha256,
+            sha256(coalesce(kept.t, '')) AS collapsed_sha256
+        FROM doc LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
