@@ -89,8 +89,8 @@ def altered(doc_id, text) -> list[str]:
 
 def test_query_equals_brute_force(spark, tmp_path):
     rng = random.Random(5)
-    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 5, 40, 120])))) for i in range(150)]
-    rows += [(200, None), (201, "a b " * 20)]
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 5, 40, 120])))) for i in range(400)]
+    rows += [(900, None), (901, "a b " * 20)]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
 
     def sha(text: str) -> str:

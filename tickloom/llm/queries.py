@@ -15,6 +15,7 @@ from tickloom.llm.packing import pack
 from tickloom.llm.periods import periodic_runs
 from tickloom.llm.quality import quality
 from tickloom.llm.secrets import find_secrets
+from tickloom.llm.spelling import letter_runs, spelling_variants, vocabulary
 from tickloom.llm.substrings import substring_dedup
 from tickloom.llm.text import sql_words
 from tickloom.llm.tokens import count_tokens
@@ -76,6 +77,16 @@ def checksum(text: Column) -> Column:
     return F.crc32(text.cast("string").cast("binary"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """A run whose checksum with its document's id is divisible by 97 loses one code point first."""
+    runs = letter_runs(table(spark, folder, "documents"))
+    h = checksum(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")))
+    slips = runs.withColumn("h", h).withColumn("k", (F.col("h") % F.length("run")).cast("int"))
+    word = F.when(F.col("h") % 97 == 0, F.concat(
+        F.substring("run", 1, F.col("k")), F.substring("run", F.col("k") + 2, F.length("run")))).otherwise(F.col("run"))
+    return spelling_variants(vocabulary(word, slips))
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, text; of every tenth document, chosen by the id's checksum, the end of the text repeats its beginning."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), checksum(F.col("doc_id")).alias("h"))
@@ -103,7 +114,7 @@ def op13_periods(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_near_duplicates, op3_secrets, op4_quality, op5_licenses, op6_tokens,
-                            op7_decontamination, op8_packing, op9_substrings, op10_chats, op13_periods)
+                            op7_decontamination, op8_packing, op9_substrings, op10_chats, op11_spelling, op13_periods)
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -157,6 +168,27 @@ ORACLES: dict[str, str] = {
         kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
         SELECT doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op11_spelling": f"""
+        WITH RECURSIVE run AS (SELECT doc_id, unnest(regexp_extract_all({FOLD}, '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
+        coded AS (SELECT w, c, hex(concat(doc_id, ':', w)) AS x FROM (SELECT doc_id, w, count(*) AS c FROM run GROUP BY doc_id, w)),
+        slip AS (SELECT w, c, {_checksum("x")} AS h FROM coded),
+        word AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (SELECT c, CASE WHEN h % 97 = 0
+            THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM slip)
+            WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+        cut AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS s FROM (
+            SELECT word, unnest(generate_series(1, length(word))) AS i FROM word)),
+        near AS MATERIALIZED (SELECT c.word, w.word AS other FROM cut c JOIN word w ON c.s = w.word
+            UNION SELECT w.word, c.word FROM cut c JOIN word w ON c.s = w.word
+            UNION SELECT a.word, b.word FROM cut a JOIN cut b ON a.s = b.s AND a.i = b.i AND a.word <> b.word),
+        ranked AS MATERIALIZED (SELECT near.word, other, o.n AS n_other, count(*) OVER (PARTITION BY near.word) AS n_near,
+            row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS k FROM near JOIN word o ON o.word = other),
+        base AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+            CASE WHEN n_other >= 2 * w.n THEN other END AS form, CASE WHEN n_other >= 2 * w.n THEN n_other END AS form_n
+            FROM word w LEFT JOIN ranked r ON r.word = w.word AND r.k = 1),
+        chain(word, last) AS (SELECT word, word FROM base UNION ALL
+            SELECT chain.word, form FROM chain JOIN base ON base.word = chain.last WHERE form IS NOT NULL)
+        SELECT b.word, b.form, c.last AS root, b.n, b.n_near, b.form_n
+        FROM base b JOIN chain c ON c.word = b.word JOIN base e ON e.word = c.last AND e.form IS NULL""",
     "op13_periods": f"""
         WITH d0 AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w0, hex(CAST(doc_id AS VARCHAR)) AS x FROM documents),
         d1 AS (SELECT doc_id, w0, len(w0) AS n, {_checksum("x")} AS h FROM d0),
