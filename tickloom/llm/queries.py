@@ -20,6 +20,7 @@ from tickloom.llm.substrings import substring_dedup
 from tickloom.llm.text import sql_words
 from tickloom.llm.tokens import count_tokens
 from tickloom.llm.toxicity import toxicity
+from tickloom.llm.vectors import near_vectors
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,6 +88,10 @@ def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(vocabulary(word, slips))
 
 
+def op12_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, text; of every tenth document, chosen by the id's checksum, the end of the text repeats its beginning."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), checksum(F.col("doc_id")).alias("h"))
@@ -114,7 +119,8 @@ def op13_periods(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_near_duplicates, op3_secrets, op4_quality, op5_licenses, op6_tokens,
-                            op7_decontamination, op8_packing, op9_substrings, op10_chats, op11_spelling, op13_periods)
+                            op7_decontamination, op8_packing, op9_substrings, op10_chats, op11_spelling,
+                            op12_near_vectors, op13_periods)
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -189,6 +195,18 @@ ORACLES: dict[str, str] = {
             SELECT chain.word, form FROM chain JOIN base ON base.word = chain.last WHERE form IS NOT NULL)
         SELECT b.word, b.form, c.last AS root, b.n, b.n_near, b.form_n
         FROM base b JOIN chain c ON c.word = b.word JOIN base e ON e.word = c.last AND e.form IS NULL""",
+    "op12_near_vectors": """
+        WITH RECURSIVE filled AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+            AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+        real AS MATERIALIZED (SELECT * FROM filled WHERE list_dot_product(e, e) > 0),
+        link AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM real a JOIN real b ON a.label = b.label
+            AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(vec_id, other) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.other)
+        SELECT e.vec_id, coalesce(n, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+        FROM embeddings e LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a) USING (vec_id)
+        JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) r USING (vec_id)""",
     "op13_periods": f"""
         WITH d0 AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w0, hex(CAST(doc_id AS VARCHAR)) AS x FROM documents),
         d1 AS (SELECT doc_id, w0, len(w0) AS n, {_checksum("x")} AS h FROM d0),
