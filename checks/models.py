@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from checks import sqltext as t
 from checks.registry import check, cut, rounded
-from checks.views import BARS, bars, labelled_docs, table, vectors
+from checks.views import BARS, bars, labelled_docs, table, ticks, vectors
 from tickloom.operators import aggregate as agg
 from tickloom.operators import features, forecast, learn, rows, scaling
+from tickloom.plans import Series
 from tickloom.plans.scratch import stored
 
 ID = ("symbol", "date")
@@ -289,24 +290,53 @@ def window_list(col: str, frame: str) -> str:
     return f"list({col}) OVER (PARTITION BY symbol ORDER BY t ROWS BETWEEN {frame})"
 
 
-@check("forecast_samples", *t.STEPS, """
-m AS (SELECT symbol, date, t, close, volume FROM numbered)""", sql=f"""
+SAMPLES = (*t.STEPS, f"""
+sample AS (
+  SELECT * FROM (
+    SELECT symbol, date, {window_list("close", "364 PRECEDING AND CURRENT ROW")} AS e,
+           {window_list("volume", "364 PRECEDING AND CURRENT ROW")} AS v,
+           {window_list("close", "1 FOLLOWING AND 65 FOLLOWING")} AS d FROM numbered)
+  WHERE len(e) >= 182 AND len(d) >= 1)""")
+
+
+@check("forecast_samples", *SAMPLES, sql=f"""
 SELECT symbol, date, len(e) AS encoder_length, len(d) AS decoder_length, e[1] AS first_value,
-       e[-1] AS last_value, {cut("list_sum(v)")} AS volume, d[-1] AS target
-FROM (SELECT symbol, date, {window_list("close", "364 PRECEDING AND CURRENT ROW")} AS e,
-             {window_list("volume", "364 PRECEDING AND CURRENT ROW")} AS v,
-             {window_list("close", "1 FOLLOWING AND 65 FOLLOWING")} AS d FROM m)
-WHERE len(e) >= 182 AND len(d) >= 1""")
+       e[-1] AS last_value, {cut("list_sum(v)")} AS volume, d[-1] AS target FROM sample""")
 def q_samples(spark, folder):
-    numbered = rows.row_index(bars(spark, folder))
-    out = forecast.forecast_samples(numbered, ["time_idx"], ["close", "volume"], 365, 65)
-    volume = F.aggregate("encoder", F.lit(0.0), lambda s, e: s + e["volume"])
-    return rounded(out.select(
-        *ID, "encoder_length", F.size("decoder").alias("decoder_length"),
-        F.col("encoder")[0]["close"].alias("first_value"),
-        F.element_at("encoder", -1)["close"].alias("last_value"), volume.alias("volume"),
-        F.element_at("decoder", -1)["close"].alias("target"),
-    ), "volume")
+    """Samples read from blocks that hold each row twice at most."""
+    blocks = forecast.sample_blocks(bars(spark, folder), ["volume"], ["close"], 365, 65)
+    out = forecast.read_samples(
+        blocks, load_summary, ["close", "volume"], ["close"],
+        "encoder_length int, decoder_length int, first_value double, last_value double, volume double, target double")
+    return rounded(out, "volume")
+
+
+def load_summary():
+    return lambda back, ahead: (len(back), len(ahead), back[0, 0], back[-1, 0], back[:, 1].sum(), ahead[-1, 0])
+
+
+@check("sample_blocks", *SAMPLES, sql="""
+SELECT symbol, len, samples, true AS within FROM (SELECT symbol, count(*) AS len FROM numbered GROUP BY symbol)
+JOIN (SELECT symbol, count(*) AS samples FROM sample GROUP BY symbol) USING (symbol)""")
+def q_blocks(spark, folder):
+    """Blocks hold all samples of a series and no row more than twice."""
+    out = forecast.sample_blocks(bars(spark, folder), ["volume"], ["close"], 365, 65)
+    opened = out.select("symbol", F.explode("rows").alias("row")).groupBy("symbol").agg(
+        F.countDistinct("row.date").alias("len"), F.count(F.lit(1)).alias("held"))
+    samples = out.groupBy("symbol").agg(F.sum(F.size("samples")).alias("samples"))
+    return opened.join(samples, "symbol").select("symbol", "len", "samples", (F.col("held") <= 2 * F.col("len")).alias("within"))
+
+
+def load_momentum():
+    return lambda back, ahead: (ahead[:, 0].mean() - back[:, 0].mean() + back[:, 1].max(),)
+
+
+@check("read_samples", *SAMPLES, sql=f"""
+SELECT symbol, date, {cut("list_avg(d) - list_avg(e) + list_max(v)")} AS score FROM sample""")
+def q_read_samples(spark, folder):
+    """A model that reads whole samples, opened inside its batches."""
+    blocks = forecast.sample_blocks(bars(spark, folder), ["volume"], ["close"], 365, 65)
+    return rounded(forecast.read_samples(blocks, load_momentum, ["close", "volume"], ["close"]), "score")
 
 
 @check("future_frame", *t.STEPS, """
@@ -319,3 +349,18 @@ FROM (SELECT *, CAST(last_day + CAST(t - (len - 65) + 1 AS INTEGER) AS DATE) AS
 def q_future(spark, folder):
     base = rows.row_index(bars(spark, folder)).withColumn("month", F.month("date"))
     return forecast.future_frame(base.select(*ID, "close", "time_idx", "month"), 65)
+
+
+@check("future_frame_ticks", """
+n AS (SELECT user_id, ts, value, row_number() OVER w - 1 AS time_idx, month(ts) AS month,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS back, count(*) OVER (PARTITION BY user_id) AS len
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))""", """
+ends AS (SELECT user_id, max(ts) AS last, max(ts) FILTER (back = 2) AS before, max(time_idx) AS top FROM n GROUP BY user_id)""", """
+new AS (SELECT user_id, last + (last - before) * CAST(least(len, 20) - back + 1 AS INTEGER) AS ts, value,
+               top + least(len, 20) - back + 1 AS time_idx FROM n JOIN ends USING (user_id) WHERE back <= 20)""", sql="""
+SELECT user_id, ts, value, time_idx, month FROM n UNION ALL SELECT user_id, ts, value, time_idx, month(ts) FROM new""")
+def q_future_ticks(spark, folder):
+    """Timestamps go on by the time between a user's last two ticks."""
+    ticked = Series("user_id", "ts")
+    base = rows.row_index(ticks(spark, folder), "time_idx", ticked).withColumn("month", F.month("ts"))
+    return forecast.future_frame(base.select("user_id", "ts", "value", "time_idx", "month"), 20, series=ticked)

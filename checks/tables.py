@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import sqltext as t
 from checks.registry import check, cut, rounded
 from checks.views import (
-    BARS, MACRO_MONTH, TICKS, bars, envelopes, labelled_docs, macro, table, ticks, vectors,
+    BARS, MACRO_MONTH, TICKS, bars, envelopes, macro, table, ticks, vectors,
 )
 from tickloom.functions import indicators as ind
 from tickloom.functions import scalar as sc
@@ -258,16 +258,20 @@ def q_middle(spark, folder):
     return vectors(spark, folder).select("vec_id", sc.middle(F.col("v")).alias("middle"))
 
 
-@check("news_prompt", sql="""
+@check("news_prompt", """
+usual AS (SELECT lang, avg(quality) >= 0.5 AS good FROM documents JOIN labels USING (doc_id) GROUP BY lang)""", sql="""
 SELECT doc_id, 'News: ' || text || ' The news has sentiment: '
-       || CASE quality WHEN 1 THEN 'positive' ELSE 'negative' END
+       || CASE WHEN coalesce(quality = 1, good, true) THEN 'positive' ELSE 'negative' END
        || '. Relevant stock advice based on news and sentiment:' AS prompt
-FROM documents JOIN labels USING (doc_id)""")
+FROM documents LEFT JOIN labels USING (doc_id) LEFT JOIN usual USING (lang)""")
 def q_prompt(spark, folder):
-    word = F.when(F.col("label") == 1, "positive").otherwise("negative")
-    return labelled_docs(spark, folder).select(
-        "doc_id", sc.news_prompt(F.col("text"), word).alias("prompt")
-    )
+    """Every document: by its label, else by the commoner label of its language."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    known = docs.join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id", "left")
+    usual = known.where("quality IS NOT NULL").groupBy("lang").agg((F.avg("quality") >= 0.5).alias("good"))
+    positive = F.coalesce(F.col("quality") == 1, F.col("good"), F.lit(True))
+    word = F.when(positive, "positive").otherwise("negative")
+    return known.join(usual, "lang", "left").select("doc_id", sc.news_prompt(F.col("text"), word).alias("prompt"))
 
 
 @check("token_window", sql=r"""

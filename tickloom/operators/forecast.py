@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -13,11 +14,95 @@ from pyspark.sql import types as T
 from tickloom.functions.window import diff, shift
 from tickloom.operators.rows import row_index, slice_rows
 from tickloom.plans import DAILY, Feature, Series, with_features
+from tickloom.plans.frames import neighbourhood, spread_rows
 
 # Fixed value: two-sided 95% point of the normal distribution.
 Z95 = 1.959963984540054
 
 
+def sample_blocks(
+    df: DataFrame,
+    known: Sequence[str],
+    unknown: Sequence[str],
+    encoder: int = 365,
+    decoder: int = 65,
+    min_encoder: int | None = None,
+    min_decoder: int = 1,
+    series: Series = DAILY,
+) -> DataFrame:
+    """key, block, rows, samples: the encoder/decoder samples of all time steps, every row stored at most twice.
+
+    A series is cut in blocks of encoder + decoder rows, which also hold the rows their samples reach back and ahead:
+    fewer than a block's own. A sample is (at, encoder_length, decoder_length): the place in ``rows`` of its last encoder
+    row, and how many rows up to it and after it belong to it. Samples shorter than the minimum lengths are left out.
+    ``rows`` holds the row's number in its series (``_pos``), the order, the known and the unknown columns; ``read_samples`` reads samples.
+    """
+    min_encoder = encoder // 2 if min_encoder is None else min_encoder
+    own = encoder + decoder
+    columns = list(dict.fromkeys([series.order, *known, *unknown]))
+    rows = df.select(*dict.fromkeys([*series.keys, *columns]))
+    if series.cut_rows(df) is None:
+        rows = rows.withColumn("_pos", F.row_number().over(series.window()).cast("bigint"))
+        rows, _ = spread_rows(rows, encoder - 1, decoder, own)
+    else:
+        rows, _ = neighbourhood(rows, [], encoder - 1, decoder, replace(series, chunk_rows=own))
+    # bounded: one block's rows and their neighbours
+    block = rows.groupBy(*series.keys, F.col("_chunk").alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct("_pos", *columns))).alias("rows"))
+    first = F.col("block") * own
+    every = F.transform("rows", lambda r, i: F.struct(
+        i.alias("at"), F.least(F.lit(encoder), i + 1).alias("encoder_length"),
+        F.least(F.lit(decoder), F.size("rows") - 1 - i).alias("decoder_length"),
+        ((r["_pos"] > first) & (r["_pos"] <= first + own)).alias("own")))
+    long = F.filter(every, lambda s: s["own"] & (s["encoder_length"] >= min_encoder) & (s["decoder_length"] >= min_decoder))
+    return block.select(
+        *series.keys, "block", "rows",
+        F.transform(long, lambda s: F.struct(s["at"], s["encoder_length"], s["decoder_length"])).alias("samples"))
+
+
+def read_samples(
+    blocks: DataFrame,
+    load: Callable[[], Callable[[np.ndarray, np.ndarray], tuple]],
+    encoder_columns: Sequence[str],
+    decoder_columns: Sequence[str],
+    out: str = "score double",
+    series: Series = DAILY,
+) -> DataFrame:
+    """key, order and the columns ``out``: what an injected function makes of every sample, opened inside the batch that reads it.
+
+    The function gets two matrices, rows by columns, which are views of the block: no sample is copied. ``load`` runs
+    once for each task. Missing values are NaN; the function's are NULL.
+    """
+    row = blocks.schema["rows"].dataType.elementType
+    made = T._parse_datatype_string(out).fields
+    schema = T.StructType([*[f for f in blocks.schema.fields if f.name in series.keys], row[series.order], *made])
+    names = list(dict.fromkeys([*encoder_columns, *decoder_columns]))
+    left, right = ([names.index(c) for c in part] for part in (encoder_columns, decoder_columns))
+
+    def column(name: str, kind: str | None = None) -> Column:
+        return F.transform("rows", lambda r: r[name].cast(kind) if kind else r[name])
+
+    columns = blocks.where(F.size("samples") > 0).select(
+        *series.keys, column(series.order).alias("_at"), "samples.at", "samples.encoder_length", "samples.decoder_length",
+        *[column(c, "double").alias(f"_c{i}") for i, c in enumerate(names)])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        do = load()
+        for batch in batches:
+            for r in batch.to_dict("records"):
+                values = np.column_stack([np.array(r[f"_c{i}"], dtype=float) for i in range(len(names))])
+                back, ahead = values[:, left], values[:, right]
+                found = [do(back[at + 1 - n : at + 1], ahead[at + 1 : at + 1 + m])
+                         for at, n, m in zip(r["at"], r["encoder_length"], r["decoder_length"], strict=True)]
+                part = pd.DataFrame(found, columns=[f.name for f in made])
+                part[series.order] = np.asarray(r["_at"])[np.asarray(r["at"])]
+                yield part.assign(**{k: r[k] for k in series.keys})[schema.names]
+
+    read_ = columns.mapInPandas(read, schema)
+    floats = [f.name for f in made if isinstance(f.dataType, T.DoubleType)]
+    return read_.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in floats})
+
+
 def forecast_samples(
     df: DataFrame,
     known: Sequence[str],
@@ -31,7 +116,8 @@ def forecast_samples(
     """One sample per time step: the rows up to it and the rows after it, as arrays of structs.
 
     Encoder rows hold known and unknown columns, decoder rows the known ones and the target
-    (first of ``unknown``). Samples shorter than the minimum lengths are left out.
+    (first of ``unknown``). Samples shorter than the minimum lengths are left out. Every row is copied into up to
+    encoder + decoder samples: ``sample_blocks`` keeps them twice at most.
     """
     min_encoder = encoder // 2 if min_encoder is None else min_encoder
     seen, ahead = F.struct(*known, *unknown), F.struct(*known, unknown[0])
@@ -56,41 +142,68 @@ def future_frame(
     df: DataFrame, h: int = 65, index: str = "time_idx", month: str | None = "month",
     series: Series = DAILY,
 ) -> DataFrame:
-    """The rows followed by a copy of the last h, dated and numbered onwards day by day."""
+    """The rows followed by a copy of the last h, numbered and placed onwards in steps of the order.
+
+    Dates go on day by day and numbers by one; timestamps by the time between the series' last two rows, a day if
+    there is one row, so the time of day is kept. ``month`` is taken anew from dates and timestamps.
+    """
     if series.cut_rows(df) is None:
         return _future_in_place(df, h, index, month, series)
     tail = row_index(slice_rows(df, -h, None, series), "_step", series)
     ends = df.groupBy(*series.keys).agg(
-        F.max(index).alias("_last_index"), F.max(series.order).alias("_last_day")
+        F.max(index).alias("_last_index"), F.max(series.order).alias("_last")
     )
-    scaffold = tail.join(ends, series.keys).withColumns({
+    if not isinstance(df.schema[series.order].dataType, T.DateType):
+        two = slice_rows(df.select(*series.keys, series.order), -2, None, series)
+        ends = ends.join(two.groupBy(*series.keys).agg(F.min(series.order).alias("_before")), series.keys)
+    scaffold = tail.join(ends, series.keys)
+    scaffold = scaffold.withColumns({
         index: (F.col("_last_index") + 1 + F.col("_step")).cast(df.schema[index].dataType),
-        series.order: F.date_add("_last_day", (F.col("_step") + 1).cast("int")),
+        series.order: _onwards(df, F.col("_step") + 1, series),
     })
-    if month in df.columns:
-        scaffold = scaffold.withColumn(month, F.month(series.order))
+    if month in df.columns and _dated(df, series):
+        scaffold = scaffold.withColumn(month, F.month(series.order).cast(df.schema[month].dataType))
     return df.unionByName(scaffold.select(*df.columns))
 
 
+def _dated(df: DataFrame, series: Series) -> bool:
+    return isinstance(df.schema[series.order].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _onwards(df: DataFrame, steps: Column, series: Series) -> Column:
+    """The order ``steps`` steps after ``_last``; ``_before`` is that of the row before the last."""
+    kind = df.schema[series.order].dataType
+    if isinstance(kind, T.DateType):
+        return F.date_add("_last", steps.cast("int"))
+    if not _dated(df, series):
+        return (F.col("_last") + steps).cast(kind)
+    gap = F.col("_last") - F.col("_before")
+    day = F.expr("interval '1' day")
+    return F.col("_last") + F.when(F.col("_last") > F.col("_before"), gap).otherwise(day) * steps.cast("int")
+
+
 def _future_in_place(df: DataFrame, h: int, index: str, month: str | None, series: Series) -> DataFrame:
-    """The same for series bounded by the calendar: one exchange, then the last h rows are doubled."""
+    """The same for series that are one window group: one exchange, then the last h rows are doubled."""
     whole = Window.partitionBy(*series.keys)
     seen = df.withColumns({
         "_at": F.row_number().over(whole.orderBy(series.order)),
         "_len": F.count(F.lit(1)).over(whole),
         "_last_index": F.max(index).over(whole),
-        "_last_day": F.max(series.order).over(whole),
+        "_last": F.max(series.order).over(whole),
     })
+    if not isinstance(df.schema[series.order].dataType, T.DateType):
+        seen = seen.withColumn("_before", F.max(F.when(
+            F.col("_at") == F.greatest(F.col("_len") - 1, F.lit(1)), F.col(series.order))).over(whole))
     # The place of a row's copy among the new rows, from 1; none for rows before the last h.
     step = F.col("_at") - F.greatest(F.col("_len") - h, F.lit(0))
     copies = F.when(step > 0, F.array(F.lit(0), step.cast("int"))).otherwise(F.array(F.lit(0)))
     doubled = seen.withColumn("_copy", F.explode(copies))
     new = F.col("_copy") > 0
-    day = F.when(new, F.date_add("_last_day", F.col("_copy"))).otherwise(F.col(series.order))
+    at = F.when(new, _onwards(df, F.col("_copy"), series)).otherwise(F.col(series.order))
     number = F.when(new, F.col("_last_index") + F.col("_copy")).otherwise(F.col(index))
-    changed = {series.order: day, index: number.cast(df.schema[index].dataType)}
-    if month in df.columns:
-        changed[month] = F.when(new, F.month(day)).otherwise(F.col(month)).cast(df.schema[month].dataType)
+    changed = {series.order: at, index: number.cast(df.schema[index].dataType)}
+    if month in df.columns and _dated(df, series):
+        changed[month] = F.when(new, F.month(at)).otherwise(F.col(month)).cast(df.schema[month].dataType)
     return doubled.withColumns(changed).select(*df.columns)
 
 

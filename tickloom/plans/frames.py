@@ -148,7 +148,7 @@ def _near(
     needed = _closure(wanted.values(), lambda f: f.sources, known)
     back = max(_reach(f, known, "back") for f in wanted.values())
     ahead = max(_reach(f, known, "ahead") for f in wanted.values())
-    spread, home = _spread(rows, back, ahead, chunk)
+    spread, home = spread_rows(rows, back, ahead, chunk)
     window = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
     known.update(wanted)
     return _evaluated(spread, needed, window, window).filter(home).select(
@@ -185,10 +185,11 @@ def neighbourhood(
     Rows near an edge appear in every chunk that reads them; the returned predicate keeps each
     row once.
     """
-    return _spread(with_running(df, [*running, position()], series), back, ahead, series.cut_rows(df))
+    return spread_rows(with_running(df, [*running, position()], series), back, ahead, series.cut_rows(df))
 
 
-def _spread(rows: DataFrame, back: int, ahead: int, chunk: int) -> tuple[DataFrame, Column]:
+def spread_rows(rows: DataFrame, back: int, ahead: int, chunk: int) -> tuple[DataFrame, Column]:
+    """Rows numbered by ``_pos`` from 1 in chunks (``_chunk``), with the neighbours that each chunk reads."""
     first = F.greatest(F.lit(0), F.floor((F.col("_pos") - 1 - ahead) / chunk))
     last = F.floor((F.col("_pos") - 1 + back) / chunk)
     spread = rows.withColumn("_chunk", F.explode(F.sequence(first, last)))

@@ -24,8 +24,16 @@ def _path() -> Column:
 def read_bars_csv(
     spark: SparkSession, path: str | Sequence[str], symbol: str | None = None
 ) -> DataFrame:
-    """Bars of one instrument, typed; columns the file lacks are left out."""
-    rows = _typed(spark.read.option("header", True).csv(path))
+    """Bars of one instrument, typed; columns the files lack are left out.
+
+    Of several paths each file is read under its own header, so columns may stand in any order.
+    """
+    if isinstance(path, str):
+        rows = _typed(spark.read.option("header", True).csv(path))
+    else:
+        rows = _under_headers(spark, spark.read.text(list(path)))
+        if rows is None:
+            raise ValueError("no file has a header with a column called date")
     return rows if symbol is None else rows.select(F.lit(symbol).alias("symbol"), *rows.columns)
 
 
@@ -38,25 +46,24 @@ def read_bars_dir(
     small row for each file, and each group is scanned under its own names, so columns may stand in any order.
     A cell that is not a number or a date becomes NULL.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(folder)
-        .select(_path().alias("path"), "value").where(F.lower("value").rlike(HEADER))
-    )
-    headers = lines.groupBy(F.regexp_replace("value", r'[\r"\x{FEFF}]', "").alias("header")).agg(
-        F.collect_set("path").alias("paths")).collect()
-    parts = [_bars(spark, r["header"], sorted(r["paths"]), symbol_pattern) for r in sorted(headers)]
-    if not parts:
+    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(folder)
+    rows = _under_headers(spark, lines, F.regexp_extract(_path(), symbol_pattern, 1).alias("symbol"))
+    if rows is None:
         return spark.createDataFrame([], ", ".join(["symbol string", *(f"{c} {t}" for c, t in BAR_TYPES.items())]))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+    return rows
 
 
-def _bars(spark: SparkSession, header: str, paths: list[str], symbol_pattern: str) -> DataFrame:
-    schema = ", ".join(f"`{c.strip()}` string" for c in header.split(","))
-    raw = spark.read.schema(schema).option("header", True).csv(paths)
-    return _typed(raw, F.regexp_extract(_path(), symbol_pattern, 1).alias("symbol"))
+def _under_headers(spark: SparkSession, lines: DataFrame, *extra: Column) -> DataFrame | None:
+    """The files whose ``lines`` hold a header, each scanned under its own names; None if none does."""
+    named = lines.select(_path().alias("path"), "value").where(F.lower("value").rlike(HEADER))
+    headers = named.groupBy(F.regexp_replace("value", r'[\r"\x{FEFF}]', "").alias("header")).agg(
+        F.collect_set("path").alias("paths")).collect()
+    out = None
+    for r in sorted(headers):
+        schema = ", ".join(f"`{c.strip()}` string" for c in r["header"].split(","))
+        part = _typed(spark.read.schema(schema).option("header", True).csv(sorted(r["paths"])), *extra)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def read_series_csv(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import from_epoch_millis
+from tickloom.plans.scratch import stored
 
 # The envelope's field names.
 ENVELOPE = "results array<struct<t:bigint,o:double,h:double,l:double,c:double,v:double>>"
@@ -43,9 +44,10 @@ def price_history(
 ) -> DataFrame:
     """History of the listed symbols within a date range; one NULL row for a symbol without any.
 
-    The big table is filtered at the scan and never shuffled.
+    The big table is filtered at the scan, read once and never shuffled: what is found is written below the shared
+    folder, where the symbols without any are looked up.
     """
-    inside = df.filter(F.col(key).isin(list(symbols)) & F.col(order).between(start, end))
+    inside = stored(df.filter(F.col(key).isin(list(symbols)) & F.col(order).between(start, end)))
     listed = df.sparkSession.createDataFrame([(s,) for s in symbols], f"{key} string")
     absent = listed.join(inside.select(key).distinct(), key, "left_anti")
     return inside.unionByName(absent, allowMissingColumns=True)
