@@ -23,8 +23,12 @@ _HEX_LONG = re.compile(r"[0-9a-f]{24,}")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
-#: Bits a character that some window of a candidate must reach, by the class of its characters.
-BITS = {"hex": 2.9, "alnum": 3.6, "base64": 3.6}
+#: What a window of each class must reach: bits a character, changes between lower case, upper case and digits, groups of
+#: digits; and how many of +/_=- and how many pairs of lower-case neighbours it may hold. Words, names, versions and paths
+#: change seldom, hold one number, are parted often or have many neighbours.
+LIMITS = {"hex": (2.9, 3, 2, 0, WINDOW), "one_case": (3.4, 5, 2, 1, WINDOW), "mixed": (3.6, 7, 1, 2, 5)}
+#: Digits and letters that a window of hex digits has at least.
+HEX_LEAST = (4, 3)
 #: Words of documentation: windows that touch one, or the REACH characters on either side of it, are no secrets.
 ALLOWED = re.compile(
     r"example|sample|placeholder|dummy|changeme|xxxx|0123456789|123456789|abcdefgh|test[_-]?key|your[_-]", re.I)
@@ -35,45 +39,87 @@ DIGEST = re.compile(r"(?<![A-Za-z0-9])(?:" + "|".join(
     rf"{name}[-_=](?:[0-9a-f]{{1,{2 * n}}}|[A-Za-z0-9+/_-]{{{-(-4 * n // 3)}}}={{0,2}})(?![A-Za-z0-9+/])"
     for name, n in DIGESTS.items()) + ")", re.I)
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-#: What stands before the '//' of a URL.
-SCHEME = re.compile(r"(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]*:\Z")
+#: What stands before the '//' of a URL, and what ends its host and path: a blank, a quote, a bracket, or '?', after which values come.
+SCHEME = re.compile(r"(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]*\Z")
 LONGEST_SCHEME = 32
+URL_END = re.compile(r"[\s?\"'<>()\[\]{}]")
 
 _PLOGP = [0.0] + [k * math.log2(k) for k in range(1, WINDOW + 1)]
-
-
-def char_class(s: str) -> str | None:
-    """hex, alnum or base64 for strings that mix digits and letters; None for words, names and numbers."""
-    digit = any("0" <= c <= "9" for c in s)
-    if not digit or not any(c.isalpha() for c in s):
-        return None
-    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s):
-        return "hex"
-    return "alnum" if s.isalnum() else "base64"
-
-
-def window_spans(s: str, least: float, width: int = WINDOW) -> list[tuple[int, int]]:
-    """Merged spans of the windows of ``width`` characters with at least ``least`` bits a character.
-
-    Counts change by one character in and one out; the entropy follows from sum(k log k).
-    """
-    counts: dict[str, int] = {}
-    total, spans, most = 0.0, [], math.log2(width)
-    for i, c in enumerate(s):
-        k = counts.get(c, 0)
-        total += _PLOGP[k + 1] - _PLOGP[k]
-        counts[c] = k + 1
-        if i >= width - 1:
-            start = i - width + 1
-            if most - total / width >= least - 1e-9:
-                if spans and start <= spans[-1][1]:
-                    spans[-1][1] = i + 1
-                else:
-                    spans.append([start, i + 1])
-            old = s[start]
-            k = counts[old]
-            total += _PLOGP[k - 1] - _PLOGP[k]
-            counts[old] = k - 1
+_KIND = {**dict.fromkeys("abcdefghijklmnopqrstuvwxyz", 0), **dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 1),
+         **dict.fromkeys("0123456789", 2)}
+_OTHER = 3
+_HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
+
+
+class Window:
+    """Counts of the last characters of a string, kept up as one comes in and one goes out."""
+
+    def __init__(self, s: str, width: int = WINDOW) -> None:
+        self.s, self.width, self.end = s, width, 0
+        self.counts: dict[str, int] = {}
+        self.total = 0.0  # sum of k log k
+        self.kinds = [0, 0, 0, 0]
+        self.changes = self.groups = self.calm = self.not_hex = 0
+
+    def _count(self, c: str, by: int) -> None:
+        k = self.counts.get(c, 0)
+        self.total += _PLOGP[k + by] - _PLOGP[k]
+        self.counts[c] = k + by
+        self.kinds[_KIND.get(c, _OTHER)] += by
+        self.not_hex += by * (c not in _HEX_DIGITS)
+
+    def _pair(self, i: int, by: int) -> None:
+        """The step from character i to the next: a change of kind, the beginning of a number, two small letters."""
+        x, y = _KIND.get(self.s[i], _OTHER), _KIND.get(self.s[i + 1], _OTHER)
+        self.changes += by * (x != y and _OTHER not in (x, y))
+        self.groups += by * (x != 2 and y == 2)
+        self.calm += by * (x == y == 0)
+
+    def step(self) -> bool:
+        """One character further; whether the window is full."""
+        i, start = self.end, self.end - self.width
+        if start >= 0:
+            self._count(self.s[start], -1)
+            self._pair(start, -1)
+        self._count(self.s[i], 1)
+        if i > max(start, -1) + 1 or (start < 0 and i > 0):
+            self._pair(i - 1, 1)
+        self.end += 1
+        return self.end >= self.width
+
+    def bits(self) -> float:
+        return math.log2(self.width) - self.total / self.width
+
+    def secret(self) -> bool:
+        """Whether the characters look drawn at random, by the limits of their class."""
+        lower, upper, digits, other = self.kinds
+        letters = lower + upper
+        if not digits or not letters:
+            return False
+        if not self.not_hex and not (lower and upper):
+            if digits < HEX_LEAST[0] or letters < HEX_LEAST[1]:
+                return False
+            kind = "hex"
+        else:
+            kind = "mixed" if lower and upper else "one_case"
+        bits, changes, groups, parts, calm = LIMITS[kind]
+        first = _KIND.get(self.s[self.end - self.width], _OTHER) == 2  # a number at the window's start begins there
+        return (other <= parts and self.calm <= calm and self.changes >= changes and self.groups + first >= groups
+                and self.bits() >= bits - 1e-9)
+
+
+def window_spans(s: str, least: float | None = None, width: int = WINDOW) -> list[tuple[int, int]]:
+    """Merged spans of the windows of ``width`` characters that look like secrets, or with at least ``least`` bits a character."""
+    window, spans = Window(s, width), []
+    for _ in s:
+        if not window.step():
+            continue
+        if window.secret() if least is None else window.bits() >= least - 1e-9:
+            start = window.end - width
+            if spans and start <= spans[-1][1]:
+                spans[-1][1] = window.end
+            else:
+                spans.append([start, window.end])
     return [(a, b) for a, b in spans]
 
 
@@ -85,14 +131,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def is_url(text: str, start: int) -> bool:
-    """Whether the candidate at ``start`` is what follows the scheme of a URL."""
-    return text.startswith("//", start) and SCHEME.search(text[max(0, start - LONGEST_SCHEME) : start]) is not None
+def urls(text: str) -> list[tuple[int, int]]:
+    """Spans of scheme, host and path of the URLs of a text; what follows a '?' is not part of them."""
+    found, at = [], text.find("://")
+    while at >= 0:
+        scheme = SCHEME.search(text[max(0, at - LONGEST_SCHEME) : at])
+        stop = at + 3
+        if scheme:
+            end = URL_END.search(text, stop)
+            stop = end.start() if end else len(text)
+            found.append((at - len(scheme[0]), stop))
+        at = text.find("://", stop)
+    return found
 
 
-def unlisted(s: str) -> Iterator[tuple[int, int]]:
-    """The stretches of a candidate that the allow-list leaves; windows inside one touch nothing allow-listed."""
-    listed = [(m.start() - REACH, m.end() + REACH) for m in ALLOWED.finditer(s)]
+def unlisted(s: str, listed: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The stretches of a candidate that the allow-list and ``listed`` leave; windows inside one touch nothing allow-listed."""
+    listed = listed + [(m.start() - REACH, m.end() + REACH) for m in ALLOWED.finditer(s)]
     listed += [m.span() for m in DIGEST.finditer(s)]
     at = 0
     for a, b in sorted(listed):
@@ -103,16 +158,36 @@ def unlisted(s: str) -> Iterator[tuple[int, int]]:
         yield at, len(s)
 
 
+def widened(s: str, a: int, b: int) -> tuple[int, int]:
+    """A span with the letters and digits that adjoin it: windows at a key's edges may miss a limit."""
+    while a > 0 and s[a - 1].isalnum():
+        a -= 1
+    while b < len(s) and s[b].isalnum():
+        b += 1
+    return a, b
+
+
 def entropy_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of high-entropy stretches in candidates, but for URLs, UUIDs and what the allow-list takes out."""
-    found = []
+    """(start, kind, end) of stretches that look random, but for URLs, UUIDs and what the allow-list takes out.
+
+    Every window of a candidate is judged by its own class: its entropy, and how often its characters change between lower case,
+    upper case and digits. Paths, file names, slugs, versions and names of packages have as many bits a character but few changes.
+    """
+    found, known = [], None
     for m in CANDIDATE.finditer(text):
         s = m[0]
-        kind = char_class(s)
-        if kind is None or UUID.fullmatch(s) or is_url(text, m.start()):
+        if UUID.fullmatch(s):
             continue
-        for at, end in unlisted(s):
-            found += [(m.start() + at + a, 3, m.start() + at + b) for a, b in window_spans(s[at:end], BITS[kind])]
+        if known is None:
+            known = urls(text)
+        inside = [(max(a - m.start(), 0), b - m.start()) for a, b in known if a < m.end() and b > m.start()]
+        for at, end in unlisted(s, inside):
+            part, last = s[at:end], 0
+            for a, b in window_spans(part):
+                a, b = widened(part, a, b)
+                if b > last:
+                    found.append((m.start() + at + max(a, last), 3, m.start() + at + b))
+                    last = b
     return found
 
 
