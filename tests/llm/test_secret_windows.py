@@ -41,7 +41,7 @@ def test_values_after_a_path_are_searched():
     text = f"see https://a.example.org/files/long-branch-name?sig={key} and {key}"
     assert mask(text) == "see https://a.example.org/files/long-branch-name?[SECRET] and [SECRET]"
     assert [text[a:b] for a, b in urls(text)] == ["https://a.example.org/files/long-branch-name"]
-    assert urls("no ://scheme and 9http://x") == [] and urls("a://b c+d.e://f") == [(0, 5), (6, 14)]
+    assert urls("no ://scheme and 9http://x") == [] and urls("a://b c+d.e://f") == [(0, 5), (6, 15)]
 
 
 @pytest.mark.parametrize(("name", "length", "least"), [

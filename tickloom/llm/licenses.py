@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickloom.llm.text import fold, small, text_of
+from tickloom.plans.scratch import stored
 
 #: What ends a word, after A-Z are folded to lower case.
 BREAKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 K = 3
-#: Diagonals so near each other belong to one span: words were put in or left out.
-NEAR = 3
-#: Share of a template's k-grams that a span must have.
+#: Diagonals at most so far from a span's first belong to it: so many words may be put in or left out on the whole.
+DRIFT = 8
+#: Share of a template's k-grams that a span must have, and of its words that must stand in it.
 LEAST = 0.7
 
 #: Wordings by which texts state a license, from the licenses' own notices.
@@ -71,38 +72,72 @@ def grams(words: Column, k: int = K) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def template_positions(spark: SparkSession, templates: list[tuple[str, str]], k: int = K) -> DataFrame:
-    """template, label, n_grams and, for each k-gram, its place and hash."""
+def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
+    """template, label, t_words: a table of fixed size."""
     rows = [(i, label, text) for i, (label, text) in enumerate(templates)]
-    table = spark.createDataFrame(rows, "template int, label string, words string")
-    table = table.withColumn("grams", grams(F.split("words", " "), k))
-    return table.select("template", "label", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("t_at", "gram"))
+    return spark.createDataFrame(rows, "template int, label string, words string").select(
+        "template", "label", F.split("words", " ").alias("t_words"))
+
+
+def template_positions(table: DataFrame, k: int = K) -> DataFrame:
+    """template, label, n_grams and, for each k-gram, its place and hash."""
+    made = table.withColumn("grams", grams(F.col("t_words"), k))
+    return made.select("template", "label", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("t_at", "gram"))
 
 
 def votes(rows: DataFrame, positions: DataFrame, k: int = K) -> DataFrame:
-    """Per document, template and diagonal: the places that agree. ``rows`` has doc_key and words."""
+    """Per document, template and diagonal: the places of the template that agree. ``rows`` has doc_key and words.
+
+    A diagonal is where in the text the template would begin, so its places stand together in the text.
+    """
     positions = small(positions, 200_000)
     grammed = rows.select("doc_key", F.posexplode(grams(F.col("words"), k)).alias("at", "gram"))
     hits = grammed.join(positions, "gram").select(
-        "doc_key", "template", "label", "n_grams", "at", "t_at", (F.col("at") - F.col("t_at")).alias("diagonal"))
-    return hits.groupBy("doc_key", "template", "label", "n_grams", "diagonal").agg(
-        F.count_distinct("t_at").alias("n_votes"), F.min("at").alias("first_at"), F.max("at").alias("last_at"))
+        "doc_key", "template", "label", "n_grams", "t_at", (F.col("at") - F.col("t_at")).alias("diagonal"))
+    return hits.groupBy("doc_key", "template", "label", "n_grams", "diagonal").agg(F.collect_set("t_at").alias("places"))
+
+
+def spans(diagonals: DataFrame, drift: int = DRIFT, least: float = LEAST) -> DataFrame:
+    """Spans of neighbouring diagonals that together have enough different places of the template.
+
+    Each diagonal begins a span with those up to ``drift`` behind it, so no run of repeated phrases grows into one: a place counts once,
+    however often it is met. ``diagonal`` is the span's first, ``diagonals`` are all of it. A window holds drift + 1 rows at most.
+    """
+    near = Window.partitionBy("doc_key", "template").orderBy("diagonal").rangeBetween(0, drift)
+    merged = diagonals.withColumns({
+        "n_places": F.size(F.array_distinct(F.flatten(F.collect_list("places").over(near)))),
+        "diagonals": F.collect_list("diagonal").over(near)})
+    return merged.where(F.col("n_places") >= least * F.col("n_grams")).select(
+        "doc_key", "template", "label", "diagonal", "diagonals")
+
+
+def verified(found: DataFrame, rows: DataFrame, table: DataFrame, least: float = LEAST) -> DataFrame:
+    """The spans enough of whose template's words stand in the text on one of their diagonals, with how many and where.
+
+    Words are compared, not hashes. Only the texts of documents that have spans are read again.
+    """
+    texts = rows.join(small(found.select("doc_key").distinct(), 200_000), "doc_key", "left_semi").dropDuplicates(["doc_key"])
+    both = found.join(texts, "doc_key").join(small(table.select("template", "t_words"), 200_000), "template")
+    places = F.filter(F.transform("t_words", lambda w, i: F.array_min(F.filter(F.transform(
+        "diagonals", lambda d: F.when((d + i >= 0) & (F.get("words", (d + i).cast("int")) == w), d + i)),
+        lambda x: x.isNotNull()))), lambda x: x.isNotNull())
+    placed = both.select("doc_key", "template", "label", F.size("t_words").alias("n_template"), places.alias("places"))
+    return placed.where(F.size("places") >= least * F.col("n_template")).select(
+        "doc_key", "template", "label", F.size("places").alias("n_words"), (F.size("places") / F.col("n_template")).alias("coverage"),
+        F.array_min("places").alias("first_at"), F.array_max("places").alias("last_at"))
 
 
-def spans(diagonals: DataFrame, near: int = NEAR, least: float = LEAST) -> DataFrame:
-    """Spans of neighbouring diagonals with enough of the template.
+def unbeaten(found: DataFrame, reach: int) -> DataFrame:
+    """The spans that no span of another label covers by half with more words: of wordings that share most of their words, the fuller.
 
-    A run of diagonals each at most ``near`` from the one before, and close to it in the text, is one span. Its
-    coverage is the sum of its votes over the template's k-grams, 1 at most.
+    ``reach``: the most words between the beginnings of two spans that overlap. A window holds the spans of so many words.
     """
-    w = Window.partitionBy("doc_key", "template").orderBy("diagonal", "first_at")
-    far = (F.col("diagonal") - F.lag("diagonal").over(w)) > near
-    runs = diagonals.withColumn("run", F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(w))
-    merged = runs.groupBy("doc_key", "template", "label", "n_grams", "run").agg(
-        F.sum("n_votes").alias("n_votes"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
-    length = F.col("last_at") - F.col("first_at") + 1
-    return merged.withColumn("coverage", F.least(F.lit(1.0), F.col("n_votes") / F.col("n_grams"))).where(
-        (F.col("coverage") >= least) & (length <= 2 * F.col("n_grams") + 2 * near))
+    around = Window.partitionBy("doc_key").orderBy("first_at").rangeBetween(-reach, reach)
+    others = F.collect_set(F.struct("label", "n_words", "first_at", "last_at")).over(around)
+    shared = lambda o: F.least(o["last_at"], F.col("last_at")) - F.greatest(o["first_at"], F.col("first_at")) + 1
+    beaten = F.exists("others", lambda o: (o["label"] != F.col("label")) & (o["n_words"] > F.col("n_words"))
+                      & (2 * shared(o) >= F.col("last_at") - F.col("first_at") + 1))
+    return found.withColumn("others", others).where(~beaten).drop("others")
 
 
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, id_col: str = "doc_id",
@@ -112,8 +147,8 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     Base phrases are found in the row itself. The k-gram hashes of all words are joined with template
     positions, a table of fixed size; only places that match leave their task. Rows are told apart by id and
     text, so equal rows share their votes and each has the full result. Null and empty texts have no words, no
-    labels and score 0; null ids stay null; other columns are not read. ``score`` is the best coverage of a
-    template, 1 if a base phrase was found.
+    labels and score 0; null ids stay null; other columns are not read; no rows give no rows. ``score`` is the largest share of a
+    template's words that stand in a span, 1 if a base phrase was found.
     """
     spark = docs.sparkSession
     text = text_of(text_col)
@@ -131,8 +166,11 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
         F.array_max(F.concat(*starts)).cast("bigint").alias("last_word"), found.alias("base"))
 
     keyed = rows.select(F.to_json("doc_key").alias("doc_key"), "words")
-    verified = spans(votes(keyed, template_positions(spark, templates or TEMPLATES)))
-    labels = verified.groupBy("doc_key").agg(F.collect_set("label").alias("more"), F.max("coverage").alias("best"))
+    known = template_table(spark, templates or TEMPLATES)
+    found = stored(spans(votes(keyed, template_positions(known))))
+    longest = max(len(text.split()) for _, text in templates or TEMPLATES)
+    kept = unbeaten(verified(found, keyed, known), longest + DRIFT)
+    labels = kept.groupBy("doc_key").agg(F.collect_set("label").alias("more"), F.max("coverage").alias("best"))
     joined = base.join(labels, "doc_key", "left")
     every = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
     return joined.select(
