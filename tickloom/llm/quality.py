@@ -5,23 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.text import sql_words, text_of
+from tickloom.llm.text import small, sql_words, text_of
 from tickloom.plans.scratch import stored
 
 #: Fixed values.
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
-#: Quartiles a metric's fence is set from, and how many times their spread it lies beyond them.
-QUARTILES = (0.25, 0.5, 0.75)
-REACH = 6.0
+#: Ranks whose distances from the median a metric's fence is set from, outwards; those below the median are one less these.
+TAIL = (0.75, 0.9, 0.95, 0.98, 0.99, 0.995)
+#: The tail goes on while a rank's distance is at most JUMP times the last one's and the metric's step more; the fence lies
+#: MARGIN times as far as its last rank, and a step.
+JUMP, MARGIN = 2.0, 1.5
 #: Rates of few words vary more: the fence of a text of n words lies 1 + SHORT / n times as far out.
 SHORT = 20.0
 #: Compression of the quantile sketches: the rank error is at most 1 / ACCURACY.
 ACCURACY = 2000
 #: Rows of its language that a group's quantiles are mixed with, so that a few rows alone set no fence.
 PRIOR = 50.0
-#: Metric → least spread: a group whose rows are all alike must not reject small differences.
-METRICS = {"mean_word": 0.5, "symbol_rate": 0.05, "dup_line_rate": 0.05, "repeat_rate": 0.03}
+#: Metric → step: what one more character, symbol, line or window can make in a text of some twenty words.
+METRICS = {"mean_word": 0.3, "symbol_rate": 0.05, "dup_line_rate": 0.2, "repeat_rate": 0.05}
+BROADCAST_ROWS = 100_000
 #: Metrics that are bad when high; mean_word also when low.
 TWO_SIDED = ("mean_word",)
 
@@ -83,29 +86,48 @@ def with_metrics(counts: DataFrame) -> DataFrame:
 
 
 def sketches(rows: DataFrame, *keys: str, suffix: str) -> DataFrame:
-    """Quartiles of each metric for each group, by sketches that merge across tasks, and the group's rows."""
+    """Median and tail ranks of each metric for each group, by sketches that merge across tasks, and the group's rows."""
+    def ranks(m: str) -> list[float]:
+        return [0.5, *TAIL, *((1 - t for t in TAIL) if m in TWO_SIDED else ())]
+
     return rows.groupBy(*keys).agg(F.count("*").alias(f"n{suffix}"), *(
-        F.percentile_approx(m, list(QUARTILES), ACCURACY).alias(m + suffix) for m in METRICS))
+        F.percentile_approx(m, ranks(m), ACCURACY).alias(m + suffix) for m in METRICS))
+
+
+def tail_end(gaps: Column, step: float) -> Column:
+    """The fence's distance from the median: a margin beyond the last rank before the tail jumps.
+
+    What lies beyond a jump is another kind of text, so up to a quarter of a group may be such and not move the fence.
+    """
+    start = F.struct(F.lit(True).alias("go"), F.get(gaps, F.lit(0)).alias("last"))
+    end = F.aggregate(F.slice(gaps, 2, len(TAIL) - 1), start, lambda s, gap: F.struct(
+        (s["go"] & (gap <= JUMP * s["last"] + step)).alias("go"),
+        F.when(s["go"] & (gap <= JUMP * s["last"] + step), gap).otherwise(s["last"]).alias("last")))
+    return MARGIN * end["last"] + step
 
 
 def thresholds(rows: DataFrame) -> DataFrame:
     """lang, source and the fences of each metric, from the rows that the fixed rules leave.
 
-    The quartiles of a group are mixed with those of its language in proportion to its rows. A fence lies
-    REACH spreads beyond the outer quartile: the quartile and that distance are returned.
+    The ranks of a group are mixed with those of its language in proportion to its rows. Returned are the median and the
+    distances of the fences above it and, of two-sided metrics, below it.
     """
     fit = rows.where(~F.col("base_failed"))
     group = sketches(fit, "lang", "source", suffix="_g")
     lang = sketches(fit, "lang", suffix="_l").withColumnRenamed("lang", "lang_l")
     both = group.join(lang, group["lang"].eqNullSafe(lang["lang_l"]))
     share = F.col("n_g") / (F.col("n_g") + PRIOR)
+    mixed = both.select("lang", "source", *(F.zip_with(
+        m + "_g", m + "_l", lambda g, b: share * g + (1 - share) * b).alias(m) for m in METRICS))
     out = []
-    for m, least in METRICS.items():
-        low, mid, high = (share * F.get(m + "_g", F.lit(k)) + (1 - share) * F.get(m + "_l", F.lit(k)) for k in range(3))
-        out += [high.alias(m + "_high"), (REACH * F.greatest(high - mid, F.lit(least))).alias(m + "_above")]
+    for m, step in METRICS.items():
+        middle = F.get(m, F.lit(0))
+        above = F.transform(F.slice(m, 2, len(TAIL)), lambda q: q - middle)
+        out += [middle.alias(m + "_mid"), tail_end(above, step).alias(m + "_above")]
         if m in TWO_SIDED:
-            out += [low.alias(m + "_low"), (REACH * F.greatest(mid - low, F.lit(least))).alias(m + "_below")]
-    return both.select("lang", "source", *out)
+            below = F.transform(F.slice(m, 2 + len(TAIL), len(TAIL)), lambda q: middle - q)
+            out.append(tail_end(below, step).alias(m + "_below"))
+    return mixed.select("lang", "source", *out)
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -115,16 +137,16 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     Kept are rows that the fixed rules leave and whose every metric lies inside the fences of their language
     and source. Null texts have no words and fail; null languages and sources are groups of their own; null
     ids stay null; repeated rows are judged each; other columns are not read; no rows give no rows. A
-    hot source costs nothing extra: sketches merge map-side, and the join to the fences may be split.
+    hot source costs nothing extra: sketches merge map-side, and the fences are broadcast up to BROADCAST_ROWS groups.
     """
     rows = with_metrics(stored(text_counts(docs, id_col, text_col, lang_col, source_col)))
-    fences = thresholds(rows).withColumnsRenamed({"lang": "f_lang", "source": "f_source"})
+    fences = small(thresholds(rows).withColumnsRenamed({"lang": "f_lang", "source": "f_source"}), BROADCAST_ROWS)
     joined = rows.join(
         fences, rows["lang"].eqNullSafe(fences["f_lang"]) & rows["source"].eqNullSafe(fences["f_source"]), "left")
     inside, wider = F.lit(True), 1 + SHORT / F.greatest("n_words", F.lit(1))
     for m in METRICS:
-        inside &= F.coalesce(F.col(m) <= F.col(m + "_high") + F.col(m + "_above") * wider, F.lit(True))
+        inside &= F.coalesce(F.col(m) <= F.col(m + "_mid") + F.col(m + "_above") * wider, F.lit(True))
         if m in TWO_SIDED:
-            inside &= F.coalesce(F.col(m) >= F.col(m + "_low") - F.col(m + "_below") * wider, F.lit(True))
+            inside &= F.coalesce(F.col(m) >= F.col(m + "_mid") - F.col(m + "_below") * wider, F.lit(True))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", (~F.col("base_failed") & inside).alias("kept"))
