@@ -97,5 +97,5 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 
 def without_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that contain no item; rows with a null id stay."""
-    bad = contained_items(docs, items, id_col, text_col).select(F.col("doc_id").alias("t_bad")).distinct()
+    bad = stored(contained_items(docs, items, id_col, text_col).select(F.col("doc_id").alias("t_bad")).distinct())
     return docs.join(small(bad, BROADCAST_ROWS), docs[id_col] == F.col("t_bad"), "left_anti")

@@ -247,7 +247,7 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Rows without words or with a null id are in no group and stay.
     """
-    found = near_duplicates(docs, id_col, text_col, percent)
+    found = stored(near_duplicates(docs, id_col, text_col, percent))
     gone = small(found.where(~F.col("kept")).select(F.col("doc_id").alias("t_gone")).distinct(), BROADCAST_ROWS)
     left = docs.join(gone, docs[id_col] == F.col("t_gone"), "left_anti")
     twice = found.where("kept AND doc_id IS NOT NULL AND n_shingles > 0").groupBy(F.col("doc_id").alias("t_id")).count().where("count > 1")

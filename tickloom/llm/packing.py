@@ -32,7 +32,7 @@ _PLAIN = re.compile(r"[\x20-\x7E\t\n\r\xC0-\xD6\xD8-\xF6\xF8-\xFF]*")
 #: How such a tokenizer splits a text in lower case.
 _PRETOKENS = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xDF-\xF6\xF8-\xFF]+|[0-9]|[^\x20\t\n\ra-z0-9\xDF-\xF6\xF8-\xFF]+")
-#: Longer pre-tokens are left to the tokenizer.
+#: Longer pre-tokens are left to the tokenizer, and are not remembered: so memory is bounded in bytes, too.
 LONG = 64
 
 _COLUMNS = T.StructType([
@@ -109,6 +109,7 @@ class WordIds:
             t = t or ""
             plain = _PLAIN.fullmatch(t) and "<|" not in t
             parts.append((self.known, _PRETOKENS.findall(t.lower())) if plain else (self.whole, _WORDS.findall(t)))
+        long = []
         for known, learn in ((self.known, self.learn), (self.whole, self.foreign)):
             used = [words for k, words in parts if k is known]
             fresh = list({w for words in used for w in words if w not in known})
@@ -117,7 +118,11 @@ class WordIds:
                 fresh = list({w for words in used for w in words})
             for i in range(0, len(fresh), 50_000):
                 learn(fresh[i : i + 50_000])
-        return [b"".join(map(known.__getitem__, words)) + self.end for known, words in parts]
+            long += [(known, w) for w in fresh if len(w) > LONG]
+        ids = [b"".join(map(known.__getitem__, words)) + self.end for known, words in parts]
+        for known, word in long:
+            del known[word]
+        return ids
 
 
 _loaded: dict[tuple[str, int], WordIds] = {}

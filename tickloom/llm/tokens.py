@@ -16,7 +16,7 @@ from tickloom.llm.text import bounded_batches
 SPACE = "▁"
 #: Distinct pre-tokens a worker remembers; the memory is emptied beyond it.
 REMEMBERED = 400_000
-#: Pre-tokens of more symbols merge by a heap of their own, in n log n.
+#: Pre-tokens of more symbols merge by a heap of their own, in n log n, and are not remembered: so memory is bounded in bytes, too.
 LONG = 64
 
 _PIECES = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -80,7 +80,11 @@ class PieceMerges:
             part = fresh[i : i + 50_000]
             self.known.update(zip(part, self.merged(part), strict=True))
         get = self.known.__getitem__
-        return [sum(map(get, parts)) for parts in split]
+        counts = [sum(map(get, parts)) for parts in split]
+        for piece in fresh:
+            if len(piece) > LONG:
+                del self.known[piece]
+        return counts
 
 
 _loaded: dict[str, PieceMerges] = {}

@@ -42,7 +42,8 @@ _RUN = re.compile(r"(.)\1{2,}")
 PREFIXES = (4, 5, 6)
 NAMES = ("hits", "distinct", "density", "strongest", "strength", "disguised", "near_second", "second_rate",
          "capitals", "upper_words", "punctuation", "exclaims", "odd_rate", "runs", "mean_word", "log_words", "top_weight")
-REMEMBERED = 150_000
+#: Words a worker remembers, of at most so many letters: longer ones are weighed anew in each text, so memory is bounded in bytes, too.
+REMEMBERED, LONG = 150_000, 64
 
 
 def terms(word: str) -> list[str]:
@@ -85,10 +86,11 @@ class Features:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known, plain_word = self.known, (0.0, False, False, False)
+        long = {}
         for w in [w for w in counts if w not in known]:
             found = self.weight(w)
-            known[w] = None if found == plain_word else found
-        marked = {w: k for w in counts if (k := known[w])}
+            (known if len(w) <= LONG else long)[w] = None if found == plain_word else found
+        marked = {w: k for w in counts if (k := known[w] if w in known else long[w])}
         strong = {w for w, k in marked.items() if k[0] >= 2.0}
         second = {w for w, k in marked.items() if k[2]}
         hits = sum(counts[w] for w in strong)
