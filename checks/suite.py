@@ -1,6 +1,6 @@
 """All registered checks."""
 
-from checks import arma, indicators, joins, models, summaries, tables, trading  # noqa: F401
+from checks import arma, indicators, joins, models, moments, summaries, tables, trading  # noqa: F401
 from checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
