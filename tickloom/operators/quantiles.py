@@ -42,7 +42,7 @@ def fit_quantiles(
     The loss is bounded from above by a parabola that touches it at the lines of the pass before (weights
     1 / (distance + width)), and the parabola is minimised; the loss then never rises. The width shrinks to ``smooth``, in
     deviations of the target. A pass is one sum of products over the rows: each task sends
-    quantiles * (k + 1) * (k + 2) numbers for k columns, whatever its rows, and only their sums come to the driver. Passes
+    quantiles * (k + 1) * (k + 3) numbers for k columns, whatever its rows, and only their sums come to the driver. Passes
     end when no coefficient moves by more than ``tolerance`` deviations. Last, each line is shifted by the quantile
     of its residuals, so the share of rows below it is right up to 1 / ``accuracy`` where the target has no ties.
 
