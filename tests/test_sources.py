@@ -1,3 +1,4 @@
+import gzip
 import json
 from datetime import date
 
@@ -6,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import scalar as sc
 from tickloom.sources import (
-    parse_bar_envelope, price_history, read_bars_csv, read_bars_dir, read_series_csv,
+    parse_bar_envelope, price_history, read_bars_csv, read_bars_dir, read_series_csv, read_vendor_folder,
 )
+from tickloom.sources.landed import within
 
 
 def test_csv_in_either_case_and_order(spark, tmp_path):
@@ -52,7 +54,7 @@ def test_history_keeps_empty_symbols(spark):
 def test_history_filters_at_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([("A", date(2020, 1, 1), 1.0)], "symbol string, date date, close double").write.parquet(path)
-    plan = price_history(spark.read.parquet(path), ["A"], date(2020, 1, 1), date(2020, 2, 1))
+    plan = within(spark.read.parquet(path), ["A"], date(2020, 1, 1), date(2020, 2, 1))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in text and "EqualTo(symbol,A)" in text or "In(symbol, [A])" in text
 
@@ -82,3 +84,50 @@ def test_folder_of_differing_headers(spark, tmp_path):
     assert (got["CC", 2].volume, got["CC", 2].close, got["CC", 2].high) == (7.0, 9.0, None)
     (tmp_path / "none").mkdir()
     assert read_bars_dir(spark, str(tmp_path / "none")).count() == 0
+
+
+def envelope(*days):
+    return json.dumps({"results": [{"t": d * 86_400_000, "o": 1, "h": 3, "l": 0.5, "c": d, "v": 7} for d in days]}, indent=1)
+
+
+def vendor_folder(root):
+    files = {
+        "A/1.json": envelope(1, 2, 3), "A/2.json": envelope(4, 40), "B/1.json": envelope(1, 2)[:-20],
+        "B/2.json": envelope(2), "C/1.json": '{"status": "ERROR"}', "D/1.json": envelope(90), "E/1.json": envelope(1),
+        "007/1.json": envelope(2), "Z/1.json": "", "Y/1.json": '{"results": []}',
+    }
+    for name, text in files.items():
+        path = root / f"symbol={name}"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    (root / "symbol=G").mkdir()
+    (root / "symbol=G" / "1.json.gz").write_bytes(gzip.compress(envelope(*range(500)).encode())[:200])
+
+
+def test_vendor_folder_survives_bad_files(spark, tmp_path):
+    vendor_folder(tmp_path)
+    wanted = ["A", "B", "C", "D", "G", "007", "Y", "Z", "none", "none"]
+    out = read_vendor_folder(spark, str(tmp_path), wanted, date(1970, 1, 3), date(1970, 2, 15))
+    assert out.columns == ["symbol", "ts", "open", "high", "low", "close", "volume", "error"]
+    got = sorted((r.symbol, r.close, r.error) for r in out.collect() if r.error is None)
+    assert got == [("007", 2.0, None), ("A", 2.0, None), ("A", 3.0, None), ("A", 4.0, None), ("A", 40.0, None), ("B", 2.0, None)]
+    errors = sorted((r.symbol, r.error) for r in out.where("error IS NOT NULL").collect())
+    assert errors == [
+        ("B", "malformed"), ("C", "without results"), ("D", "no bars"), ("G", "unreadable"), ("Y", "no bars"),
+        ("Z", "no bars"), ("none", "no bars"),
+    ]
+    everything = read_vendor_folder(spark, str(tmp_path))
+    assert everything.where("error IS NULL").count() == 9
+    assert {(r.symbol, r.error) for r in everything.where("error IS NOT NULL").collect()} == {
+        ("B", "malformed"), ("C", "without results"), ("G", "unreadable")}
+
+
+def test_vendor_lines_and_nulls(spark, tmp_path):
+    (tmp_path / "symbol=A").mkdir()
+    good = json.dumps({"results": [{"t": 0, "c": 1}, {"t": None, "c": 2}, {"t": 86_400_000}]})
+    wrong = json.dumps({"results": [{"t": 0, "c": "x"}]})
+    (tmp_path / "symbol=A" / "a.json").write_text(f"{good}\n{wrong}\n{{\n\n{good}\n")
+    rows = read_vendor_folder(spark, str(tmp_path), lines=True).collect()
+    assert sorted((r.close, r.error) for r in rows if r.error is None and r.close is not None) == [(1.0, None)] * 2
+    assert len([r for r in rows if r.error is None]) == 4
+    assert [r.error for r in rows if r.error] == ["malformed"] * 2

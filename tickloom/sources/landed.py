@@ -38,6 +38,13 @@ def parse_bar_envelope(df: DataFrame, body: str = "body", on_missing: str = "err
     )
 
 
+def within(
+    df: DataFrame, symbols: Sequence[str], start: date, end: date, key: str = "symbol", order: str = "date",
+) -> DataFrame:
+    """The listed symbols' rows within a date range, by filters that reach the scan."""
+    return df.filter(F.col(key).isin(list(symbols)) & F.col(order).between(start, end))
+
+
 def price_history(
     df: DataFrame, symbols: Sequence[str], start: date, end: date,
     key: str = "symbol", order: str = "date",
@@ -47,7 +54,7 @@ def price_history(
     The big table is filtered at the scan, read once and never shuffled: what is found is written below the shared
     folder, where the symbols without any are looked up.
     """
-    inside = stored(df.filter(F.col(key).isin(list(symbols)) & F.col(order).between(start, end)))
+    inside = stored(within(df, symbols, start, end, key, order))
     listed = df.sparkSession.createDataFrame([(s,) for s in symbols], f"{key} string")
     absent = listed.join(inside.select(key).distinct(), key, "left_anti")
     return inside.unionByName(absent, allowMissingColumns=True)
