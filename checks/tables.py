@@ -208,6 +208,18 @@ def q_recent_sample(spark, folder):
     return out.select("symbol", "date", "close")
 
 
+@check("recent_samples", """
+back AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS back FROM events)""", """
+drawn AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY md5(concat_ws('|', CAST(user_id AS VARCHAR),
+                   CAST(event_id AS VARCHAR)))) AS place,
+                 count(*) OVER (PARTITION BY user_id) AS held FROM back WHERE back <= 40)""", sql="""
+SELECT user_id, event_id, value FROM drawn WHERE place <= 8 AND held >= 8""")
+def q_recent_samples(spark, folder):
+    """Eight of each user's latest forty events."""
+    out = rows.recent_samples(table(spark, folder, "events"), 40, 8, ["event_id"], TICK)
+    return out.select("user_id", "event_id", "value")
+
+
 @check("clip", *t.ROLLED, sql="""
 SELECT symbol, date, greatest(d, 0) + 0 * d AS gain, least(d, 0) + 0 * d AS loss,
        greatest(least(d, 100), -100) + 0 * d AS bounded FROM moves""")
@@ -255,6 +267,17 @@ def q_wave(spark, folder):
     return rounded(out, "x", "y")
 
 
+@check("wave_fit", *t.STEPS, sql=f"""
+SELECT symbol, count(*) AS n, {cut("regr_slope(close, sin(t * (50.0 / 499))) / 1000")} AS swing,
+       {cut("corr(close, sin(t * (50.0 / 499)))")} AS fit FROM numbered GROUP BY symbol""")
+def q_wave_fit(spark, folder):
+    """How far each series swings with the wave."""
+    _, y = sc.wave(F.col("time_idx"), 500, 0, 50)
+    out = rows.row_index(bars(spark, folder)).withColumn("y", y).groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n"), (F.regr_slope("close", "y") / 1000).alias("swing"), F.corr("close", "y").alias("fit"))
+    return rounded(out, "swing", "fit")
+
+
 @check("fit_length", sql=f"""
 SELECT vec_id, 70 AS padded, 40 AS cut_to, {cut("list_sum(CAST(embedding AS DOUBLE[]))")} AS total,
        {cut("list_sum(CAST(embedding[1:40] AS DOUBLE[]))")} AS first_total

@@ -143,3 +143,18 @@ def test_broadcast_stat(spark, series):
     out = by_series(asof.broadcast_stat(to_spark(spark, pdf), series=series))
     change = pdf.groupby("symbol")["close"].pct_change()
     assert close_to(out["volatility"], change.groupby(pdf["symbol"]).transform("std"))
+
+
+def test_recent_samples_of_each_series(spark):
+    df = spark.createDataFrame(
+        [(k, i, i * 1.0) for k, n in (("a", 3000), ("b", 30), ("c", 4)) for i in range(n)], "k string, i int, close double")
+    got = rows.recent_samples(df, 20, 5, series=Series("k", "i"))
+    assert got.columns == df.columns
+    held = {k: sorted(r.i for r in got.collect() if r.k == k) for k in "abc"}
+    assert (len(set(held["a"])), len(set(held["b"])), held["c"]) == (5, 5, [])
+    assert min(held["a"]) >= 2980 and min(held["b"]) >= 10
+    assert held == {k: sorted(r.i for r in rows.recent_samples(df.repartition(7), 20, 5, series=Series("k", "i")).collect()
+                              if r.k == k) for k in "abc"}
+    plan = rows.recent_samples(df, 20, 5, series=Series("k", "i"))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert rows.recent_samples(df.limit(0), 20, 5, series=Series("k", "i")).count() == 0

@@ -176,6 +176,26 @@ def recent_sample(
     )
 
 
+def recent_samples(
+    df: DataFrame, cap: int = 5000, n: int = 64, ids: Sequence[str] = (), series: Series = DAILY,
+) -> DataFrame:
+    """The same draw for each series: n of its latest ``cap`` rows, none if it has fewer than n.
+
+    Rows behind the latest ``cap`` of a series are left out before the shuffle, so a long series brings at most
+    ``cap`` rows of each task to the one that draws. The draw takes the smallest hashes of ``ids``, else of the order.
+    """
+    latest = Window.partitionBy(*series.keys).orderBy(F.col(series.order).desc(), *[F.col(i).asc() for i in ids])
+    ticket = F.md5(F.concat_ws("|", *[F.col(i).cast("string") for i in [*series.keys, *(ids or [series.order])]]))
+    drawn = Window.partitionBy(*series.keys).orderBy("_ticket")
+    everyone = Window.partitionBy(*series.keys)
+    return (
+        df.withColumn("_back", F.row_number().over(latest)).where(F.col("_back") <= cap)
+        .withColumn("_ticket", ticket)
+        .withColumns({"_drawn": F.row_number().over(drawn), "_held": F.count(F.lit(1)).over(everyone)})
+        .where((F.col("_drawn") <= n) & (F.col("_held") >= n)).select(*df.columns)
+    )
+
+
 def forward_fill(
     df: DataFrame, cols: Sequence[str], series: Series = DAILY, step: int = 1
 ) -> DataFrame:
