@@ -131,3 +131,7 @@ def test_vendor_lines_and_nulls(spark, tmp_path):
     assert sorted((r.close, r.error) for r in rows if r.error is None and r.close is not None) == [(1.0, None)] * 2
     assert len([r for r in rows if r.error is None]) == 4
     assert [r.error for r in rows if r.error] == ["malformed"] * 2
+    (tmp_path / "symbol=G").mkdir()
+    (tmp_path / "symbol=G" / "a.json.gz").write_bytes(gzip.compress(f"{good}\n".encode() * 9)[:60])
+    with pytest.raises(Exception):
+        read_vendor_folder(spark, str(tmp_path), lines=True).count()

@@ -25,8 +25,8 @@ def read_vendor_folder(
     arrays are unfolded. A file is one envelope, or one on each line with ``lines``. Contents are read once; what
     is found is written below the shared folder. Besides the bars there is one row with NULL prices, whose
     ``error`` says why, for each envelope that does not parse ("malformed": none of its bars is taken) or has no
-    results ("without results"), for each file that Spark cannot decode ("unreadable": its bars read before the
-    fault are not lost), and for each listed symbol with neither a bar nor such a row ("no bars"). Bars
+    results ("without results"), for each file that Spark cannot decode ("unreadable"; with ``lines`` it stops the
+    job, as the lines before the fault would hide the loss of the rest), and for each listed symbol with neither a bar nor such a row ("no bars"). Bars
     without a time are left out; an empty results array is no error.
     """
     wanted = F.lit(True) if symbols is None else F.col("symbol").isin(list(symbols))
@@ -39,7 +39,7 @@ def read_vendor_folder(
     raw = (
         spark.read.schema(f"{ENVELOPE}, _broken string, symbol string")
         .option("multiLine", not lines).option("columnNameOfCorruptRecord", "_broken")
-        .option("ignoreCorruptFiles", True).json(folder).where(wanted)
+        .option("ignoreCorruptFiles", not lines).json(folder).where(wanted)
     )
     error = F.when(F.col("_broken").isNotNull(), MALFORMED).when(F.col("results").isNull(), WITHOUT)
     envelopes = raw.select("symbol", F.col("_metadata.file_path").alias("_path"), error.alias("error"), "results")
